@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexspark.llm import encoding, lookalikes, neardup, splitting
 from lexspark.llm.sentences import sentence_units
+from lexspark.session import written
 
 
 def _t(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -19,6 +21,64 @@ def _texts(spark: SparkSession, base: str) -> DataFrame:
     return raw.unionAll(law)
 
 
+def _values(spark: SparkSession, base: str, *fields: tuple[str, str]) -> DataFrame:
+    """src, fld, ord, text of some fields."""
+    out = None
+    for src, fld in fields:
+        v = _t(spark, base, src).select(F.lit(src).alias("src"), F.lit(fld).alias("fld"), "ord", F.col(fld).alias("text"))
+        out = v if out is None else out.unionAll(v)
+    return out
+
+
+def p1_pieces(spark: SparkSession, base: str) -> DataFrame:
+    """Every text of the two fields in pieces, under the limits of size_limits."""
+    return splitting.split_oversized(_texts(spark, base), splitting.read_limits(_t(spark, base, "size_limits")))
+
+
+def p1_found(spark: SparkSession, base: str) -> DataFrame:
+    """Records that the operator had to cut: those with a second piece."""
+    return p1_pieces(spark, base).where("piece_no = 1").select("src", "ord")
+
+
+def p2_found(spark: SparkSession, base: str) -> DataFrame:
+    values = _values(spark, base, ("raw_documents", "filedata"), ("law_documents", "filename"))
+    return encoding.find_garbled(values, with_text=False).select("src", "fld", "ord")
+
+
+def p2_repaired(spark: SparkSession, base: str) -> DataFrame:
+    """The garbled values with chain, posterior and repaired text."""
+    return encoding.find_garbled(_values(spark, base, ("raw_documents", "filedata"), ("law_documents", "filename")))
+
+
+def _p3(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    docs = _t(spark, base, "raw_documents").select(F.col("ord").alias("id"), F.col("filedata").alias("text"))
+    return neardup.near_duplicates(docs, words=3, similarity=0.6)
+
+
+def p3_found(spark: SparkSession, base: str) -> DataFrame:
+    """The pairs as TESTDATA.md defines them: three words, similarity 0.6."""
+    return neardup.all_pairs(*_p3(spark, base))
+
+
+def p3_groups(spark: SparkSession, base: str) -> DataFrame:
+    """Every document with its group and its class's number of links."""
+    members, links = _p3(spark, base)
+    return neardup.groups(members, written(links, "links"))
+
+
+def p5_found(spark: SparkSession, base: str) -> DataFrame:
+    """Values whose consistent form differs, but for those that are garbled (all three fields are judged)."""
+    values = _values(spark, base, ("raw_documents", "filedata"), ("law_documents", "filename"), ("law_documents", "title"))
+    cases = lookalikes.consistent_form(values, only_cases=True)
+    return encoding.without_garbled(cases, encoding.learn(values), "src", "fld", "ord")
+
+
+def p5_forms(spark: SparkSession, base: str) -> DataFrame:
+    """Every value in its consistent form."""
+    values = _values(spark, base, ("raw_documents", "filedata"), ("law_documents", "filename"), ("law_documents", "title"))
+    return lookalikes.consistent_form(values).drop("text")
+
+
 def p4_units(spark: SparkSession, base: str) -> DataFrame:
     """Every unit with its place and text."""
     return sentence_units(_texts(spark, base), "text", ["src", "ord"])

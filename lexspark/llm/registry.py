@@ -4,8 +4,14 @@ from __future__ import annotations
 
 from lexspark.llm import queries as Q
 
-QUERIES = {
-    "p4_found": Q.p4_found,
-    "p4_units": Q.p4_units,
+_NAMES = [
+    "p1_found", "p1_pieces", "p2_found", "p2_repaired", "p3_found", "p3_groups", "p4_found", "p4_units", "p5_found", "p5_forms",
+]
+QUERIES = {n: getattr(Q, n) for n in _NAMES}
+
+ORACLE: dict[str, str] = {
+    "p1_found": """SELECT t.src, t.ord FROM (
+        SELECT 'raw_documents' AS src, 'filedata' AS fld, ord, filedata AS x FROM raw_documents
+        UNION ALL SELECT 'law_documents', 'original_content', ord, original_content FROM law_documents) t
+      JOIN size_limits l ON l.purpose = 'split' AND l.src = t.src AND l.fld = t.fld WHERE length(t.x) > l.max_size""",
 }
-ORACLE: dict[str, str] = {}
