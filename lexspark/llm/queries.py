@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm import encoding, lookalikes, neardup, splitting
+from lexspark.llm import encoding, lookalikes, mixing, neardup, packing, splitting, subjects
 from lexspark.llm.sentences import sentence_units
 from lexspark.session import written
 
@@ -86,3 +86,37 @@ def p4_units(spark: SparkSession, base: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, base: str) -> DataFrame:
     return p4_units(spark, base).select("src", "ord", "start_pos")
+
+
+def _sizes(spark: SparkSession, base: str) -> DataFrame:
+    return _t(spark, base, "documents").select(F.col("doc_id").alias("item"), F.col("n_tokens").alias("size"), "source", "text")
+
+
+def p6_packed(spark: SparkSession, base: str) -> DataFrame:
+    """Every document in containers of the size that size_limits gives for `pack`."""
+    capacity = splitting.read_limits(_t(spark, base, "size_limits"), "pack")["documents", "text"][0]
+    return packing.pack_containers(_sizes(spark, base), capacity)
+
+
+def p7_schedule(spark: SparkSession, base: str) -> DataFrame:
+    """The selection in its order."""
+    return mixing.mix(_sizes(spark, base), _t(spark, base, "source_weights"))[0]
+
+
+def p7_report(spark: SparkSession, base: str) -> DataFrame:
+    """The shares reached."""
+    return mixing.mix(_sizes(spark, base), _t(spark, base, "source_weights"))[1]
+
+
+def p8_subjects(spark: SparkSession, base: str) -> DataFrame:
+    """Documents by area with shares."""
+    return subjects.document_subjects(_t(spark, base, "documents"), _t(spark, base, "subjects"), _t(spark, base, "subject_examples"))
+
+
+def p8_found(spark: SparkSession, base: str) -> DataFrame:
+    return p8_subjects(spark, base).select("doc_id", "subject")
+
+
+def p8_composition(spark: SparkSession, base: str) -> DataFrame:
+    """How many documents deal with each area."""
+    return p8_subjects(spark, base).groupBy("subject").agg(F.count("*").alias("documents"), F.sum("sentences").alias("sentences"))

@@ -6,6 +6,7 @@ from lexspark.llm import queries as Q
 
 _NAMES = [
     "p1_found", "p1_pieces", "p2_found", "p2_repaired", "p3_found", "p3_groups", "p4_found", "p4_units", "p5_found", "p5_forms",
+    "p6_packed", "p7_schedule", "p7_report", "p8_found", "p8_subjects", "p8_composition",
 ]
 QUERIES = {n: getattr(Q, n) for n in _NAMES}
 
