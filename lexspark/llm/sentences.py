@@ -53,11 +53,16 @@ def _is_wrapped(t: Column) -> Column:
     return ~t.rlike(r"(?:^|\n)[^\n]{126}") & t.rlike(r"[\p{Ll}\p{Nd},؀-ۿऀ-ॣ][ ]?\n(?!\p{Ll}\))[\p{Ll}؀-ۿऀ-ॣ]")
 
 
+#: The next quote or bracket closes: what stands before it is inside.
+_CLOSES = r"[^\n()«»“-‟「-』]{0,300}+[”»」』)]"
+
+
 def _dots() -> str:
+    """Terminators within quotes or brackets, and dots that don't end a unit."""
     lower = r"(?=\s+\p{Ll})"
     caps = rf"(?=\s+(?:{GOES_ON})\s)(?<=\p{{Lu}}\.)"
     return (
-        rf"\.(?=[\s)])(?:"
+        rf"[.!?]++(?:(?=[\s\p{{Lu}}]{_CLOSES})|(?<=\.)(?=[\s)])(?:"
         rf"(?<=(?:^|[^\p{{L}}\p{{M}}])(?:{NEVER})\.)(?!\n)"
         rf"|(?<=(?:^|[^\p{{L}}\p{{M}}])(?:{BEFORE_FIGURE})\.)(?=\s?\p{{Nd}})"
         rf"|(?<=(?:{MAY_END})\.)(?:{lower}|{caps})"
@@ -69,15 +74,10 @@ def _dots() -> str:
         r"|(?<=\(\.\.\.)(?=\))"
         rf"|(?<=\.\.\.)(?:{lower}|(?=\s(?:{GOES_ON})\s))"
         r"|(?<=\d\.)(?=\s(?:Januar|Februar|März|April|Mai|Juni|Juli|August|September|Oktober|November|Dezember)\s)"  # German dates
-        r")"
+        r"))"
     )
 
 
-def _inside(terms: str) -> str:
-    """A terminator within quotes or brackets: the next quote or bracket closes."""
-    return rf"[{terms}]++(?=[^\n()«»“-‟「-』]{{1,300}}+[”»」』)])"
-
-
 def _ends(terms: str) -> str:
     cjk = rf"|[{_CJK}]++(?![{GUARD}”’」』）)])|[{_CJK}]++[”’」』）]++(?=\s)" if terms != _ASCII else ""
     return (
@@ -88,40 +88,44 @@ def _ends(terms: str) -> str:
 
 _URL = r"[.!?](?=\S)(?<=(?:https?://|www\.)\S{1,200})"
 
-# (test, change): a change is made where its test holds; None: everywhere. _x tells whether there are terminators of
-# other scripts, so that most texts are searched for three characters only.
-_x = lambda: F.col("_x")
+_ODD = "[\r\x0b\x0c\x85̀-‏…- ⁀-�]"
+# (test, change): a change is made where its test holds; None: everywhere. _o tells whether a text has any but the usual
+# characters, _x whether it has terminators of other scripts, so that most texts are searched for three characters only.
+_o, _x = (lambda: F.col("_o")), (lambda: F.col("_x"))
 _STEPS = [
-    (lambda t: t.rlike("[\r\x0b\x0c\x85  ]"), _unix),
+    (lambda t: _o() & t.rlike("[\r\x0b\x0c\x85  ]"), _unix),
     (_is_wrapped, _unwrap),
-    (None, lambda t: F.when(_x(), F.regexp_replace(t, _inside(_ASCII + _SPACED + _CJK), "$0" + GUARD)).otherwise(F.regexp_replace(t, _inside(_ASCII), "$0" + GUARD))),
+    (lambda t: _x(), lambda t: F.regexp_replace(t, rf"[{_SPACED}{_CJK}]++(?={_CLOSES})(?![”»」』)])", "$0" + GUARD)),
     (lambda t: t.contains('"'), lambda t: F.regexp_replace(t, r'[.!?](?=[^"\n]{1,400}+"[\s,;.:)])(?<=[\s(]"[^"\n]{0,400})', "$0" + GUARD)),
     (lambda t: t.contains("„"), lambda t: F.regexp_replace(t, r"[.!?](?=[^„“\n]{1,400}+“)(?<=„[^„“\n]{0,400})", "$0" + GUARD)),
     (lambda t: t.contains("://") | t.contains("www."), lambda t: F.regexp_replace(t, _URL, "$0" + GUARD)),
     (None, lambda t: F.regexp_replace(t, _dots(), "$0" + GUARD)),
     (lambda t: _x() & t.contains("…"), lambda t: F.regexp_replace(t, r"…(?=\s\p{Ll})", "$0" + GUARD)),
     (None, lambda t: F.when(_x(), F.regexp_replace(t, _ends(_ASCII + _SPACED), "$0" + CUT)).otherwise(F.regexp_replace(t, _ends(_ASCII), "$0" + CUT))),
-    (lambda t: t.rlike("[ก-ຮក-ឳ]"), lambda t: F.regexp_replace(t, r"(?<=[฀-໿ក-៿\p{Nd}”)])[  ​]+(?=[฀-໿ក-៿“(])", "$0" + CUT)),
+    (lambda t: _o() & t.rlike("[ก-ຮក-ឳ]"), lambda t: F.regexp_replace(t, r"(?<=[฀-໿ក-៿\p{Nd}”)])[  ​]+(?=[฀-໿ក-៿“(])", "$0" + CUT)),
 ]
 
 _BLANKS = " \t\n\r\x0b\x0c\x85\xa0                　﻿"
 
 
-def _pieces(t: Column) -> Column:
-    """array<struct<start_pos: bigint, unit: string>> of a text with guards and cuts."""
-    pieces = F.transform(F.split(t, CUT), lambda x: F.replace(x, F.lit(GUARD), F.lit("")))
-    empty = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<start_pos:bigint,unit:string>>").alias("out"))
+def _pieces(t: Column, with_text: bool) -> Column:
+    """array<struct<start_pos: bigint[, unit: string]>> of a text with guards and cuts."""
+    kind = "struct<start_pos:bigint,unit:string>" if with_text else "struct<start_pos:bigint>"
+    empty = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
+    def step(acc: Column, piece: Column) -> Column:
+        x = F.replace(piece, F.lit(GUARD), F.lit(""))
         body = F.ltrim(x, F.lit(_BLANKS))
-        one = F.array(F.struct((acc["at"] + F.char_length(x) - F.char_length(body)).alias("start_pos"), F.rtrim(body, F.lit(_BLANKS)).alias("unit")))
+        start = (acc["at"] + F.char_length(x) - F.char_length(body)).alias("start_pos")
+        one = F.array(F.struct(start, F.rtrim(body, F.lit(_BLANKS)).alias("unit")) if with_text else F.struct(start))
         return F.struct((acc["at"] + F.char_length(x)).alias("at"), F.when(body != "", F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
 
-    return F.aggregate(pieces, empty, step, lambda acc: acc["out"])
+    return F.aggregate(F.split(t, CUT), empty, step, lambda acc: acc["out"])
 
 
-def sentence_units(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """One row per unit: the columns of keep, unit_no, start_pos and unit (trailing white space cut off). keep may hold
+def sentence_units(df: DataFrame, text: str, keep: list[str], with_text: bool = True) -> DataFrame:
+    """One row per unit: the columns of keep, unit_no, start_pos and unit (trailing white space cut off; with_text=False
+    leaves it out, where positions are all that is wanted). keep may hold
     any column but those three; other columns are never read."""
     clash = {"unit_no", "start_pos", "unit"} & set(keep)
     if clash:
@@ -130,12 +134,15 @@ def sentence_units(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     ks = [f"_k{i}" for i in range(len(keep))]
     held = s.rlike(f"[{GUARD}{CUT}]")
     work = df.select(*[F.col(c).alias(k) for c, k in zip(keep, ks)], F.col(text).alias("_s"))
-    work = work.withColumn("_t", F.when(held, F.translate(s, GUARD + CUT, OTHER * 2)).otherwise(s)).withColumn("_x", s.rlike(f"[{_SPACED}{_CJK}]"))
+    work = work.withColumn("_o", s.rlike(_ODD))
+    work = work.withColumn("_t", F.when(_o() & held, F.translate(s, GUARD + CUT, OTHER * 2)).otherwise(s)).withColumn("_x", _o() & s.rlike(f"[{_SPACED}{_CJK}]"))
     for test, change in _STEPS:  # each a projection of its own, so that no step is worked out twice
         work = work.withColumn("_t", change(t) if test is None else F.when(test(t), change(t)).otherwise(t))
     stored = lambda u: F.struct(u["start_pos"].alias("start_pos"), F.substring(s, u["start_pos"].cast("int") + 1, F.char_length(u["unit"])).alias("unit"))
-    work = work.withColumn("_a", _pieces(t)).withColumn("_a", F.when(held, F.transform(a, stored)).otherwise(a))
+    work = work.withColumn("_a", _pieces(t, with_text))
+    if with_text:
+        work = work.withColumn("_a", F.when(_o() & held, F.transform(a, stored)).otherwise(a))
     # The outer form, as the plain one makes the optimizer infer a filter on the array, which it would work out from
     # the text once more for every reference.
     work = work.select(*ks, F.posexplode_outer(a).alias("_n", "_u")).where(F.col("_u").isNotNull())
-    return work.select(*[F.col(k).alias(c) for c, k in zip(keep, ks)], F.col("_n").cast("bigint").alias("unit_no"), "_u.start_pos", "_u.unit")
+    return work.select(*[F.col(k).alias(c) for c, k in zip(keep, ks)], F.col("_n").cast("bigint").alias("unit_no"), "_u.start_pos", *["_u.unit"] * with_text)
