@@ -5,10 +5,10 @@ coordinates of nine bits each, one block a 64-bit word. Over the seven coordinat
 the projective plane of order two: mask v keeps coordinate m when the bits v and m have in common are odd in number.
 Any two coordinates lie on one line, so whenever two sketches differ in at most two coordinates of a block, some mask
 hides every difference, and sketch & mask is equal: the pair collides in that table for certain, at any size of the
-collection. (Differences in three coordinates on a line are hidden as well.) Blocks are independent; a pair of
-similarity s differs in at most two of seven coordinates with a probability that is 0.53 at s = 0.65 and 0.65 at 0.7
-for one block, so that a pair is missed in all of BLOCKS = 5 about once in 80 times at 0.65, in 360 at 0.7 and in 3,000
-at 0.75. More blocks miss less: they are a parameter.
+collection. (Differences in three coordinates
+on a line are hidden as well.) Blocks are independent; the differences of a pair of similarity s are hidden in one block
+with probability 0.48 at s = 0.6, 0.59 at 0.65 and 0.69 at 0.7, so that BLOCKS = 7 all miss a pair about once in 95
+times at 0.6, in 480 at 0.65 and in 3,800 at 0.7. More blocks miss less: they are a parameter.
 
 Plan. Texts with equal shingle sets collapse into one class first, so copies never meet in a bucket. Only classes are
 hashed; a bucket row is 5 numbers. Buckets are joined by key (the join is split by the engine where a bucket is hot),
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from lexspark.session import written
 
 WORDS, SIMILARITY = 5, 0.8
-BLOCKS, COORDINATES, BITS, CHECK_BITS, CHECK_LIMIT = 5, 7, 9, 126, 38
+BLOCKS, COORDINATES, BITS, CHECK_BITS, CHECK_LIMIT = 7, 7, 9, 126, 38
 _WORD = re.compile(r"[^\W_]+")
 
 
