@@ -42,45 +42,73 @@ from lexspark.session import written
 
 PLACES, QUARTER, MAX_EXAMPLES = 2**20, 0.25, 20_000
 MIN_SEEN, MIN_PURITY, MIN_SUM, MIN_SHARE = 8, 0.4, 0.9, 0.1
-_TOKEN = re.compile(r"[^\W\d_]+|\d+|[.!?…。！？](?=[\s”’»\")]|$)|\n\s*\n")
-_END, _PARAGRAPH = -1, -2
-
-
-def _token_id(w: str) -> int:
-    if w[0] == "\n":
-        return _PARAGRAPH
-    if w[0] in ".!?…。！？":
-        return _END
-    return 0 if w[0].isdigit() else zlib.crc32(w.encode()) or 1
-
-
-def _parse(text: str, cache: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(features, their sentence, the paragraph of each sentence). Features: hashed words and pairs of neighbours within a
-    sentence; all figures are alike."""
-    words = _TOKEN.findall(text.lower())
-    if len(cache) > 500_000:
-        cache.clear()
-    for w in set(words).difference(cache):
-        cache[w] = _token_id(w)
-    ids = np.fromiter(map(cache.__getitem__, words), np.int64, len(words))
-    stop = ids < 0
-    sentence = np.cumsum(stop)
-    paragraph_of = np.cumsum(ids == _PARAGRAPH)
-    n = int(sentence[-1]) + 1 if len(ids) else 0
-    paragraphs = np.zeros(n, np.int64)
-    paragraphs[sentence] = paragraph_of
-    word = ~stop
-    u = ids.astype(np.uint64)
-    one = u[word] * np.uint64(0x9E3779B97F4A7C15)
-    pair = word[:-1] & word[1:]
-    two = u[:-1][pair] * np.uint64(0xC2B2AE3D27D4EB4F) + u[1:][pair] * np.uint64(0x165667B19E3779F9)
-    one ^= one >> np.uint64(29)
-    two ^= two >> np.uint64(31)
-    return np.concatenate((one, two)), np.concatenate((sentence[word], sentence[:-1][pair])), paragraphs
+BLOCK_CHARS = 300_000
+_TOKEN = re.compile(r"\w+|[.!?…。！？](?=[\s”’»\")\x00]|$)|\n\s*\n|\x00")
+_END, _PARAGRAPH, _DOCUMENT = -1, -2, -3
+
+
+class _Ids(dict):
+    """Ids of tokens, worked out once each."""
+
+    def __missing__(self, w: str) -> int:
+        c = w[0]
+        if c == "\x00":
+            i = _DOCUMENT
+        elif c == "\n":
+            i = _PARAGRAPH
+        elif c in ".!?…。！？":
+            i = _END
+        else:
+            i = 0 if c.isdigit() else zlib.crc32(w.encode()) or 1
+        self[w] = i
+        return i
+
+
+class _Block:
+    """Documents taken together. feature: hashed words and pairs of neighbours within a sentence, all figures being alike;
+    at: the sentence of each; paragraph, document: of each sentence. n documents in all."""
+
+    def __init__(self, texts: list[str], ids: _Ids):
+        if len(ids) > 500_000:
+            ids.clear()
+        words = _TOKEN.findall("\x00".join(t.replace("\x00", " ") if "\x00" in t else t for t in texts).lower())
+        i = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
+        stop = i < 0
+        sentence = np.cumsum(stop)
+        ends = i[stop]
+        self.n = len(texts)
+        self.document = np.concatenate(([0], np.cumsum(ends == _DOCUMENT)))
+        self.paragraph = np.concatenate(([0], np.cumsum(ends < _END)))
+        u = i.astype(np.uint64)
+        word = ~stop
+        pair = word[:-1] & word[1:]
+        one = u[word] * np.uint64(0x9E3779B97F4A7C15)
+        two = u[:-1][pair] * np.uint64(0xC2B2AE3D27D4EB4F) + u[1:][pair] * np.uint64(0x165667B19E3779F9)
+        self.feature = np.concatenate((one, two))
+        self.feature ^= self.feature >> np.uint64(29)
+        self.at = np.concatenate((sentence[word], sentence[:-1][pair]))
+
+    @property
+    def sentences(self) -> int:
+        return len(self.document)
+
+
+def _blocks(texts: list[str | None], ids: _Ids) -> Iterator[tuple[list[int], _Block]]:
+    """(places in texts, block) over the texts that hold anything."""
+    held, size = [], 0
+    for i, t in enumerate(texts):
+        if t and not t.isspace():
+            held.append(i)
+            size += len(t)
+        if held and (size > BLOCK_CHARS or i == len(texts) - 1):
+            yield held, _Block([texts[j] for j in held], ids)
+            held, size = [], 0
+    if held:
+        yield held, _Block([texts[j] for j in held], ids)
 
 
 def _place(features: np.ndarray) -> np.ndarray:
-    return (features % np.uint64(PLACES)).astype(np.int64)
+    return (features & np.uint64(PLACES - 1)).astype(np.int64)
 
 
 class Lexicon:
@@ -137,9 +165,9 @@ def lexicon(counts: np.ndarray, keys: np.ndarray, min_seen: float, min_purity: f
 
 def _seed(examples: list[tuple[str, int]], k: int) -> Lexicon:
     counts: dict[int, np.ndarray] = {}
-    cache: dict[str, int] = {}
+    ids = _Ids()
     for text, area in examples:
-        for f in np.unique(_parse(text, cache)[0]).tolist():
+        for f in np.unique(_Block([text], ids).feature).tolist():
             counts.setdefault(f, np.zeros(k))[area] += 1
     if not counts:
         return Lexicon(np.empty(0, np.uint64), np.empty((0, k)), True)
@@ -152,38 +180,25 @@ def _count(seed: Lexicon, k: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seed.prepare()
-        cache: dict[str, int] = {}
-        table = np.zeros((k, PLACES), np.float32)
-        held, shares, size = [], [], 0
-
-        def add() -> None:
-            f = _place(np.concatenate(held))
-            doc = np.repeat(np.arange(len(held)), [len(x) for x in held])
-            s = np.array(shares)
-            for a in range(k):
-                w = s[doc, a]
-                hit = w > 0
-                table[a] += np.bincount(f[hit], w[hit], PLACES)
-
+        ids = _Ids()
+        table = np.zeros((k + 1, PLACES), np.float32)  # the last row: documents of every area in equal parts
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if not text:
-                    continue
-                features, sentence, paragraphs = _parse(text, cache)
-                v = np.bincount(seed.votes(features, sentence, len(paragraphs)), minlength=k + 1)[1:]
-                if len(features):
-                    enough = v.max() >= max(1, MIN_SHARE * len(paragraphs))
-                    held.append(features)
-                    shares.append(v / v.sum() if enough else np.full(k, 1 / k))
-                    size += len(features)
-                if size > 500_000:
-                    add()
-                    held, shares, size = [], [], 0
-        if held:
-            add()
-        some = np.flatnonzero(table.sum(axis=0))
+            for _, x in _blocks(batch.column(0).to_pylist(), ids):
+                v = seed.votes(x.feature, x.at, x.sentences)
+                seen = np.bincount(x.document * (k + 1) + v, minlength=x.n * (k + 1)).reshape(x.n, k + 1)
+                n, seen = seen.sum(axis=1), seen[:, 1:]
+                enough = seen.max(axis=1) >= np.maximum(1, MIN_SHARE * n)
+                share = np.zeros((x.n, k + 1), np.float32)
+                share[:, :k] = np.where(enough[:, None], seen / np.maximum(seen.sum(axis=1, keepdims=True), 1), 0)
+                share[:, k] = ~enough
+                place, document = _place(x.feature), x.document[x.at]
+                for a in range(k + 1):
+                    hit = (share[:, a] > 0)[document]
+                    np.add.at(table[a], place[hit], share[document[hit], a])
+        some = np.flatnonzero(table.any(axis=0))
         if len(some):
-            yield pa.RecordBatch.from_arrays([pa.array(some), *[pa.array(table[a, some].astype(np.float64)) for a in range(k)]], names=["f", *[f"a{a}" for a in range(k)]])
+            sums = table[:k, some].astype(np.float64) + table[k, some] / k
+            yield pa.RecordBatch.from_arrays([pa.array(some), *[pa.array(sums[a]) for a in range(k)]], names=["f", *[f"a{a}" for a in range(k)]])
 
     return run
 
@@ -196,30 +211,24 @@ def _votes(seed: Lexicon, corpus: Lexicon, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seed.prepare()
         corpus.prepare()
-        cache: dict[str, int] = {}
+        ids = _Ids()
         for batch in batches:
-            ids, laws, sources, texts = (c.to_pylist() for c in batch.columns)
-            codes, tops = [], []
-            for text in texts:
-                if not text or text.isspace():
-                    codes.append([])
-                    tops.append(0)
-                    continue
-                features, sentence, paragraphs = _parse(text, cache)
-                n = len(paragraphs)
-                a, b = seed.votes(features, sentence, n), corpus.votes(features, sentence, n)
-                tally = np.zeros((int(paragraphs[-1]) + 1, base), np.int64)
-                np.add.at(tally, (paragraphs, b), 1)
-                near = tally[paragraphs]
-                near[np.arange(n), b] -= 1  # the other sentences
+            docs, laws, sources, texts = (c.to_pylist() for c in batch.columns)
+            codes, tops = [[] for _ in texts], [0] * len(texts)
+            for places, x in _blocks(texts, ids):
+                a, b = seed.votes(x.feature, x.at, x.sentences), corpus.votes(x.feature, x.at, x.sentences)
+                tally = np.bincount(x.paragraph * base + b, minlength=(int(x.paragraph[-1]) + 1) * base).reshape(-1, base)
+                near = tally[x.paragraph]
+                near[np.arange(x.sentences), b] -= 1  # the other sentences
                 near[:, 0] = 0
-                c = near.argmax(axis=1)
-                code = (a * base + b) * base + c
-                codes.append(code[code > 0].tolist())
-                v = np.bincount(b, minlength=base)
-                v[0] = 0
-                tops.append(int(v.argmax()) if v.any() else 0)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(laws, pa.string()), pa.array(sources, pa.string()), pa.array(codes, pa.list_(pa.int32())), pa.array(tops, pa.int32())], names=["doc_id", "law", "source", "codes", "top"])
+                code = (a * base + b) * base + near.argmax(axis=1)
+                seen = np.bincount(x.document * base + b, minlength=x.n * base).reshape(x.n, base)
+                seen[:, 0] = 0
+                top = np.where(seen.any(axis=1), seen.argmax(axis=1), 0).tolist()
+                each = np.split(code, np.searchsorted(x.document, np.arange(1, x.n)))
+                for i, t, c in zip(places, top, each):
+                    tops[i], codes[i] = t, c[c > 0].tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(laws, pa.string()), pa.array(sources, pa.string()), pa.array(codes, pa.list_(pa.int32())), pa.array(tops, pa.int32())], names=["doc_id", "law", "source", "codes", "top"])
 
     return run
 
