@@ -138,8 +138,8 @@ class Lexicon:
         has = row >= 0
         if not has.any():
             return out
-        score = np.zeros((n, self.weights.shape[1]), np.float32)
-        np.add.at(score, sentence[has], self.weights[row[has]])
+        at, row = sentence[has], row[has]
+        score = np.stack([np.bincount(at, self.weights[row, a], n) for a in range(self.weights.shape[1])], axis=1)
         best = score.argmax(axis=1)
         return np.where(score[np.arange(n), best] >= MIN_SUM, best + 1, 0)
 
@@ -268,16 +268,21 @@ def latent(patterns: np.ndarray, n: np.ndarray, k: int, lexical: int = 3, iterat
 
 
 def _most(df: DataFrame, key: str, name: str) -> DataFrame:
-    """Counts of documents by key and most voted area, as one array per key (index: area, 0 is none)."""
+    """For each key the two areas that most documents vote for, as structs (m: documents, negative; top: area)."""
     by = df.where(F.col(key).isNotNull() & (F.col("top") > 0)).groupBy(key, "top").agg(F.count("*").alias("n"))
-    return by.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("top", "n"))).alias(name))
+    ranked = by.groupBy(key).agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "top"))).alias("r"))  # at most one per area
+    return ranked.select(key, F.get("r", F.lit(0)).alias(f"{name}1"), F.get("r", F.lit(1)).alias(f"{name}2"))
 
 
-def _vote(counts: str, k: int, but: str | None = None):
-    """The area with the highest count in a map of counts, less one for the document's own area."""
-    each = [F.coalesce(F.try_element_at(F.col(counts), F.lit(a)), F.lit(0)) - (F.when(F.col(but) == a, 1).otherwise(0) if but else F.lit(0)) for a in range(1, k + 1)]
-    most = F.greatest(*each)
-    return F.coalesce(F.when(most > 0, F.array_position(F.array(*each), most).cast("int")), F.lit(0))
+def _vote(name: str, but_own: bool):
+    """The area voted most; but_own: among the other documents, ties going to the area that comes first."""
+    first, second = F.col(f"{name}1"), F.col(f"{name}2")
+    best = first["top"]
+    if but_own:
+        own = F.col("top") == first["top"]
+        best = F.when(own & second.isNotNull() & (F.struct(second["m"], second["top"]) < F.struct(first["m"] + 1, first["top"])), second["top"])
+        best = best.when(own & (first["m"] == -1), F.lit(0)).otherwise(first["top"])
+    return F.coalesce(best, F.lit(0))
 
 
 def document_subjects(documents: DataFrame, subjects: DataFrame, examples: DataFrame) -> DataFrame:
@@ -305,7 +310,7 @@ def document_subjects(documents: DataFrame, subjects: DataFrame, examples: DataF
     rows = rows.join(_most(voted, "law", "laws"), "law", "left").join(_most(voted, "source", "sources"), "source", "left")
     base = k + 1
     code = (F.col("code").cast("long") * base + F.col("address")) * base + F.col("origin")
-    rows = rows.select("doc_id", "codes", _vote("laws", k, "top").alias("address"), _vote("sources", k).alias("origin"))
+    rows = rows.select("doc_id", "codes", _vote("laws", True).alias("address"), _vote("sources", False).alias("origin"))
     each = rows.select("doc_id", F.explode("codes").alias("code"), "address", "origin").select("doc_id", code.alias("pattern"))
     each = written(each.groupBy("doc_id", "pattern").agg(F.count("*").alias("n")), "patterns")
     seen = each.groupBy("pattern").agg(F.sum("n").alias("n")).toArrow()
