@@ -132,8 +132,8 @@ def _long(run: str) -> tuple[str, str] | None:
 class Model:
     """What EM learned: for each pool, the garbled units with their chains, repairs and posteriors."""
 
-    def __init__(self, bad: dict[str, dict[tuple[str, str, str], list[tuple[str, str, float]]]], prior: dict[str, dict[str, float]]):
-        self.bad, self.prior = bad, prior
+    def __init__(self, bad: dict[str, dict[tuple[str, str, str], list[tuple[str, str, float]]]], prior: dict[str, dict[str, float]], frequency: dict[str, float]):
+        self.bad, self.prior, self.frequency = bad, prior, frequency
 
 
 def fit(counts: list[tuple[str, str, str, str, int]], iterations: int = 10) -> Model:
@@ -208,7 +208,7 @@ def fit(counts: list[tuple[str, str, str, str, int]], iterations: int = 10) -> M
     for (p, a, run, b, _), q in zip(open_units, post):
         if sum(q) > 0.5:
             bad[p][a, run, b] = sorted(((c, t, x) for (c, t, _), x in zip(runs[run], q) if x > 1e-3), key=lambda z: (-z[2], z[0]))
-    return Model(bad, prior)
+    return Model(bad, prior, frequency)
 
 
 def _count_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +237,20 @@ def learn(values: DataFrame) -> Model:
 RESULT = "src string, fld string, ord long, chain string, posterior double, units long, restored boolean, text string"
 
 
-def repair_text(text: str, bad: dict, found: list | None = None) -> tuple[str, str, float, int, bool] | None:
+def _by_chain(run: str, chain: str, frequency: dict[str, float]) -> str:
+    """A run that its own context says little about, in a record garbled by chain: repaired where that gives characters
+    that are known (UTF-8) or far more common (single bytes)."""
+    for c, t, _ in candidates(run, frequency):
+        if c.removesuffix(", in part") == chain.removesuffix(", in part"):
+            if "utf-8" in c:
+                if all(frequency.get(x, 0) > 0 or x.isascii() for x in t):
+                    return t
+            elif all(r == x or frequency.get(r, 0) > 10 * frequency.get(x, 0) for x, r in zip(run, t)):
+                return t
+    return run
+
+
+def repair_text(text: str, bad: dict, frequency: dict[str, float], found: list | None = None) -> tuple[str, str, float, int, bool] | None:
     """(text, chain, posterior, units, wholly restored) of a garbled text, None for a clean one."""
     votes: Counter = Counter()
     hits, firm, worst, lost = 0, 0, 0.0, LOST in text
@@ -262,10 +275,11 @@ def repair_text(text: str, bad: dict, found: list | None = None) -> tuple[str, s
     def change(m: re.Match) -> str:
         u = (m[1], m[2], m[3])
         if u in bad:
-            return m[1] + next((t for c, t, _ in bad[u] if c == chain), bad[u][0][1])
+            same = next((t for c, t, _ in bad[u] if c == chain), None) or _by_chain(m[2], chain, frequency)
+            return m[1] + (same if same != m[2] else bad[u][0][1])
         if len(m[2]) > MAX_RUN and (fix := _long(m[2])):
             return m[1] + fix[1]
-        return m[0]
+        return m[1] + _by_chain(m[2], chain, frequency) if firm else m[0]
 
     return _UNITS.sub(change, text), chain, 1.0 if lost else worst, hits, not lost
 
@@ -280,7 +294,7 @@ def _find(model: Model, with_text: bool) -> Callable[[Iterator[pa.RecordBatch]],
                 bad, units = model.bad.get(f"{src}.{fld}", {}), _UNITS.findall(text)
                 if LOST not in text and bad.keys().isdisjoint(units) and not any(len(u[1]) > MAX_RUN for u in units):
                     continue
-                got = repair_text(text, bad, units)
+                got = repair_text(text, bad, model.frequency, units)
                 if got:
                     rows.append((src, fld, ord_, got[1], got[2], got[3], got[4], got[0] if with_text else None))
             if rows:
@@ -304,7 +318,7 @@ def without_garbled(values: DataFrame, model: Model, *keep: str) -> DataFrame:
         for b in batches:
             names = b.schema.names
             src, fld, text = (b.column(names.index(c)).to_pylist() for c in ("src", "fld", "text"))
-            ok = [t is None or t.isascii() or repair_text(t, model.bad.get(f"{s}.{f}", {})) is None for s, f, t in zip(src, fld, text)]
+            ok = [t is None or t.isascii() or repair_text(t, model.bad.get(f"{s}.{f}", {}), model.frequency) is None for s, f, t in zip(src, fld, text)]
             yield b.select(list(keep)).filter(pa.array(ok, pa.bool_()))
 
     out = values.select(*dict.fromkeys((*keep, "src", "fld", "text")))

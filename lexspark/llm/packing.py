@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from lexspark.session import written
 
-GROUP_ROWS, TAIL, FULL = 20_000, 700, 0.98
+GROUP_ROWS, TAIL, FULL, MAX_TASKS = 20_000, 700, 0.98, 20_000
 RESULT = "container string, slot int, item long, piece long, start long, size long, source string"
 
 
@@ -139,7 +139,8 @@ def pack_containers(docs: DataFrame, capacity: int, target: dict | None = None,
         w = Window.partitionBy("source").orderBy("g").rowsBetween(Window.unboundedPreceding, -1)
         carried = grid.withColumn("deficit", F.coalesce(F.sum("d").over(w), F.lit(0.0)))
         carried = carried.groupBy("g").agg(F.collect_list(F.struct(F.coalesce("source", F.lit("\0")).alias("source"), "deficit")).alias("before"))
-        ready = placed.join(carried, "g")
+        # A number of partitions that is asked for isn't coalesced: the groups' work lies in Python, not in bytes.
+        ready = placed.join(carried, "g").repartition(min(groups, MAX_TASKS), "g")
         packed = written(ready.groupBy("g").applyInPandas(_pack_group(capacity, shares, str(tag)), RESULT), "packed")
         if groups == 1:
             return packed if done is None else done.unionByName(packed)
