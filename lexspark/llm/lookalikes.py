@@ -60,6 +60,7 @@ def _styled() -> dict[str, str]:
 
 _STYLED = _styled()
 _ONE = {c: k for c, k in _STYLED.items() if len(k) == 1} | LATIN_ODD
+SINGLE = _ONE
 _MANY = {c: k for c, k in _STYLED.items() if len(k) > 1}
 
 

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexspark.llm.lookalikes import SAME_LOOK, SINGLE
+
 GUARD, CUT, OTHER = "", "", "￼"
 
 # Fixed values. Abbreviations that never end a unit, those that end one unless a lower-case word follows, and those that
@@ -88,7 +90,19 @@ def _ends(terms: str) -> str:
 
 _URL = r"[.!?](?=\S)(?<=(?:https?://|www\.)\S{1,200})"
 
-_ODD = "[\r\x0b\x0c\x85̀-‏…- ⁀-�]"
+_ODD = "[\r\u00a0\u0131\u0251-\u0261\x0b\x0c\x85̀-‏…- ⁀-�]"
+# For finding boundaries, odd spaces count as spaces and look-alike letters in Latin words as the letters they look like,
+# one for one, so that places stay. Texts with words of another script keep that script's letters.
+_SPACES = "               　"
+_FOLD = SINGLE | SAME_LOOK | dict.fromkeys(_SPACES, " ")
+_NEEDS_FOLD = rf"[{_SPACES}ıɑɡＡ-ｚ０-９\x{{1d400}}-\x{{1d7ff}}]|[A-Za-z][Ͱ-ӿԁ]|[Ͱ-ӿԁ][a-z]"
+
+
+def _fold(t: Column) -> Column:
+    spaces = F.translate(t, _SPACES, " " * len(_SPACES))
+    return F.when(t.rlike(r"[Ͱ-Ͽ]{4}|[Ѐ-ӿ]{4}"), spaces).otherwise(F.translate(t, "".join(_FOLD), "".join(_FOLD.values())))
+
+
 # (test, change): a change is made where its test holds; None: everywhere. _o tells whether a text has any but the usual
 # characters, _x whether it has terminators of other scripts, so that most texts are searched for three characters only.
 _o, _x = (lambda: F.col("_o")), (lambda: F.col("_x"))
@@ -135,13 +149,16 @@ def sentence_units(df: DataFrame, text: str, keep: list[str], with_text: bool =
     held = s.rlike(f"[{GUARD}{CUT}]")
     work = df.select(*[F.col(c).alias(k) for c, k in zip(keep, ks)], F.col(text).alias("_s"))
     work = work.withColumn("_o", s.rlike(_ODD))
-    work = work.withColumn("_t", F.when(_o() & held, F.translate(s, GUARD + CUT, OTHER * 2)).otherwise(s)).withColumn("_x", _o() & s.rlike(f"[{_SPACED}{_CJK}]"))
-    for test, change in _STEPS:  # each a projection of its own, so that no step is worked out twice
+    work = work.withColumn("_x", _o() & s.rlike(f"[{_SPACED}{_CJK}]")).withColumn("_f", _o() & (held | s.rlike(_NEEDS_FOLD)))
+    work = work.withColumn("_t", F.when(F.col("_f"), F.translate(_fold(s), GUARD + CUT, OTHER * 2)).otherwise(s))
+    for i, (test, change) in enumerate(_STEPS):  # each a projection of its own, so that no step is worked out twice
+        if i == 2 and with_text:  # lines are told by now: units of a text in which breaks changed come from the text as stored
+            work = work.withColumn("_f", F.col("_f") | (t != s))
         work = work.withColumn("_t", change(t) if test is None else F.when(test(t), change(t)).otherwise(t))
     stored = lambda u: F.struct(u["start_pos"].alias("start_pos"), F.substring(s, u["start_pos"].cast("int") + 1, F.char_length(u["unit"])).alias("unit"))
     work = work.withColumn("_a", _pieces(t, with_text))
     if with_text:
-        work = work.withColumn("_a", F.when(_o() & held, F.transform(a, stored)).otherwise(a))
+        work = work.withColumn("_a", F.when(F.col("_f"), F.transform(a, stored)).otherwise(a))
     # The outer form, as the plain one makes the optimizer infer a filter on the array, which it would work out from
     # the text once more for every reference.
     work = work.select(*ks, F.posexplode_outer(a).alias("_n", "_u")).where(F.col("_u").isNotNull())
