@@ -82,9 +82,10 @@ def _dots() -> str:
 
 def _ends(terms: str) -> str:
     cjk = rf"|[{_CJK}]++(?![{GUARD}”’」』）)])|[{_CJK}]++[”’」』）]++(?=\s)" if terms != _ASCII else ""
+    # White space behind an end is taken with it, so that units begin where pieces do.
     return (
-        rf"\n|[{terms}]++(?!{GUARD})(?:(?=\s)|[)\]]++(?=\s|\p{{Lu}})|[”’\"»“]++(?=\s+[^\p{{Ll}}\s])(?!\s+(?:E|AND|Y)\s)"
-        rf"|(?=[)\]”\"»“«¿¡(\p{{Lu}}])(?<=(?:\p{{L}}\p{{L}}|[\p{{Nd}}%º²λ)”])[{terms}]{{1,4}})[)\]”\"»]*+(?=[“«¿¡(]?\p{{Lu}}[\p{{Ll}}\p{{Lu}} ]))" + cjk
+        rf"(?:\n|[{terms}]++(?!{GUARD})(?:(?=\s)|[)\]]++(?=\s|\p{{Lu}})|[”’\"»“]++(?=\s+[^\p{{Ll}}\s])(?!\s+(?:E|AND|Y)\s)"
+        rf"|(?=[)\]”\"»“«¿¡(\p{{Lu}}])(?<=(?:\p{{L}}\p{{L}}|[\p{{Nd}}%º²λ)”])[{terms}]{{1,4}})[)\]”\"»]*+(?=[“«¿¡(]?\p{{Lu}}[\p{{Ll}}\p{{Lu}} ])){cjk})\s*+"
     )
 
 
@@ -125,16 +126,14 @@ _BLANKS = " \t\n\r\x0b\x0c\x85\xa0               
 def _pieces(t: Column, with_text: bool) -> Column:
     """array<struct<start_pos: bigint[, unit: string]>> of a text with guards and cuts."""
     kind = "struct<start_pos:bigint,unit:string>" if with_text else "struct<start_pos:bigint>"
-    empty = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+    body = F.ltrim(t, F.lit(_BLANKS))
+    empty = F.struct((F.char_length(t) - F.char_length(body)).cast("bigint").alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
 
-    def step(acc: Column, piece: Column) -> Column:
-        x = F.replace(piece, F.lit(GUARD), F.lit(""))
-        body = F.ltrim(x, F.lit(_BLANKS))
-        start = (acc["at"] + F.char_length(x) - F.char_length(body)).alias("start_pos")
-        one = F.array(F.struct(start, F.rtrim(body, F.lit(_BLANKS)).alias("unit")) if with_text else F.struct(start))
-        return F.struct((acc["at"] + F.char_length(x)).alias("at"), F.when(body != "", F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+    def step(acc: Column, x: Column) -> Column:
+        one = F.array(F.struct(acc["at"].alias("start_pos"), F.rtrim(x, F.lit(_BLANKS)).alias("unit")) if with_text else F.struct(acc["at"].alias("start_pos")))
+        return F.struct((acc["at"] + F.char_length(x)).alias("at"), F.when(x != "", F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
 
-    return F.aggregate(F.split(t, CUT), empty, step, lambda acc: acc["out"])
+    return F.aggregate(F.split(body, CUT), empty, step, lambda acc: acc["out"])
 
 
 def sentence_units(df: DataFrame, text: str, keep: list[str], with_text: bool = True) -> DataFrame:
@@ -156,7 +155,7 @@ def sentence_units(df: DataFrame, text: str, keep: list[str], with_text: bool =
             work = work.withColumn("_f", F.col("_f") | (t != s))
         work = work.withColumn("_t", change(t) if test is None else F.when(test(t), change(t)).otherwise(t))
     stored = lambda u: F.struct(u["start_pos"].alias("start_pos"), F.substring(s, u["start_pos"].cast("int") + 1, F.char_length(u["unit"])).alias("unit"))
-    work = work.withColumn("_a", _pieces(t, with_text))
+    work = work.withColumn("_t", F.replace(t, F.lit(GUARD), F.lit(""))).withColumn("_a", _pieces(t, with_text))
     if with_text:
         work = work.withColumn("_a", F.when(F.col("_f"), F.transform(a, stored)).otherwise(a))
     # The outer form, as the plain one makes the optimizer infer a filter on the array, which it would work out from
