@@ -59,14 +59,22 @@ def _is_wrapped(t: Column) -> Column:
 _CLOSES = r"[^\n()«»“-‟「-』]{0,300}+[”»」』)]"
 
 
+def _before(words: str) -> str:
+    """One look-behind for each length of word, as each of these is tried at one place only."""
+    by: dict[int, list[str]] = {}
+    for w in words.split("|"):
+        by.setdefault(len(w.replace("\\", "")), []).append(w)
+    return "(?:" + "|".join(rf"(?<=(?:^|[^\p{{L}}\p{{M}}])(?:{'|'.join(x)})\.)" for x in by.values()) + ")"
+
+
 def _dots() -> str:
     """Terminators within quotes or brackets, and dots that don't end a unit."""
     lower = r"(?=\s+\p{Ll})"
     caps = rf"(?=\s+(?:{GOES_ON})\s)(?<=\p{{Lu}}\.)"
     return (
-        rf"[.!?]++(?:(?=[\s\p{{Lu}}]{_CLOSES})|(?<=\.)(?=[\s)])(?:"
-        rf"(?<=(?:^|[^\p{{L}}\p{{M}}])(?:{NEVER})\.)(?!\n)"
-        rf"|(?<=(?:^|[^\p{{L}}\p{{M}}])(?:{BEFORE_FIGURE})\.)(?=\s?\p{{Nd}})"
+        rf"[.!?]++(?:(?=[\s\p{{Lu}}]{_CLOSES})|(?<=\.)(?=[\s)])(?<!\p{{Ll}}{{6}}\.)(?:"  # no abbreviation ends in six small letters
+        rf"{_before(NEVER)}(?!\n)"
+        rf"|(?=\s?\p{{Nd}}){_before(BEFORE_FIGURE)}"
         rf"|(?<=(?:{MAY_END})\.)(?:{lower}|{caps})"
         r"|(?<=\s\p{Lu}\.)(?<!(?:inciso|anexo|item|classe|ANEXO|INCISO|Anexo)\s\p{Lu}\.)(?=\s\p{L})"  # initials
         rf"|(?<=[^\d.,]\d{{1,2}}\.\d{{1,2}}(?:\.\d{{1,2}})?(?:\.\d{{1,2}})?\.){lower}"  # item numbers
