@@ -64,6 +64,19 @@ _TO = {code: _to_byte(code) for code in _UTF8_READ_AS}
 _FROM = {code: _from_byte(code) for code in ("cp1252", "cp850", "mac_roman")}
 
 
+
+
+def misread(c: str) -> list[str]:
+    """What a character looks like when its UTF-8 bytes were read as another encoding, once or twice."""
+    out = []
+    for code in ("latin-1", *_UTF8_READ_AS):
+        back = {b: x for x, b in _TO[code].items() if not (code == "cp1252" and "\x80" <= x <= "\x9f" and b in _FROM["cp1252"])} if code != "latin-1" else {b: chr(b) for b in range(128, 256)}
+        out.append("".join(back[b] for b in c.encode()))
+    twice = {b: x for b, x in _FROM["cp1252"].items()}
+    out.append("".join(twice.get(b, chr(b)) for b in out[1].encode() ))
+    return list(dict.fromkeys(out))
+
+
 _REPERTOIRE = frozenset(c for table in _TO.values() for c in table)
 
 

@@ -15,9 +15,14 @@ stored.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexspark.llm.encoding import misread
 from lexspark.llm.lookalikes import SAME_LOOK, SINGLE
 
 GUARD, CUT, OTHER = "", "", "￼"
@@ -97,9 +102,22 @@ def _ends(terms: str) -> str:
     )
 
 
+_ODD = "[\r\x80-\x9f\u00a0\u0131\u0251-\u0261\x0b\x0c\x85̀-‏…- ⁀-�]"
+_o, _x = (lambda: F.col("_o")), (lambda: F.col("_x"))
+# Quotation marks as they look in text decoded with a wrong encoding; the opening ones tell that there are any.
+_OPEN, _CLOSE = misread("“"), misread("”")
+_QUOTES = "(?:" + "|".join(map(re.escape, _CLOSE)) + ")"
+
+
+def _misquoted(t: Column) -> Column:
+    """Whether a text has misread quotation marks."""
+    usual = [x for x in _OPEN if not re.search(_ODD, x)]
+    odd = "|".join(re.escape(x) for x in _OPEN if x not in usual)
+    return reduce(or_, (t.contains(x) for x in usual), _o() & t.rlike(odd))
+
+
 _URL = r"[.!?](?=\S)(?<=(?:https?://|www\.)\S{1,200})"
 
-_ODD = "[\r\u00a0\u0131\u0251-\u0261\x0b\x0c\x85̀-‏…- ⁀-�]"
 # For finding boundaries, odd spaces count as spaces and look-alike letters in Latin words as the letters they look like,
 # one for one, so that places stay. Texts with words of another script keep that script's letters.
 _SPACES = "               　"
@@ -114,17 +132,18 @@ def _fold(t: Column) -> Column:
 
 # (test, change): a change is made where its test holds; None: everywhere. _o tells whether a text has any but the usual
 # characters, _x whether it has terminators of other scripts, so that most texts are searched for three characters only.
-_o, _x = (lambda: F.col("_o")), (lambda: F.col("_x"))
 _STEPS = [
     (lambda t: _o() & t.rlike("[\r\x0b\x0c\x85  ]"), _unix),
     (_is_wrapped, _unwrap),
     (lambda t: _x(), lambda t: F.regexp_replace(t, rf"[{_SPACED}{_CJK}]++(?={_CLOSES})(?![”»」』)])", "$0" + GUARD)),
     (lambda t: t.contains('"'), lambda t: F.regexp_replace(t, r'[.!?](?=[^"\n]{1,400}+"[\s,;.:)])(?<=[\s(]"[^"\n]{0,400})', "$0" + GUARD)),
     (lambda t: t.contains("„"), lambda t: F.regexp_replace(t, r"[.!?](?=[^„“\n]{1,400}+“)(?<=„[^„“\n]{0,400})", "$0" + GUARD)),
+    (_misquoted, lambda t: F.regexp_replace(t, rf"[.!?]++(?=(?:(?!{'|'.join(map(re.escape, _OPEN))})[^\n]){{1,300}}?{_QUOTES})", "$0" + GUARD)),
     (lambda t: t.contains("://") | t.contains("www."), lambda t: F.regexp_replace(t, _URL, "$0" + GUARD)),
     (None, lambda t: F.regexp_replace(t, _dots(), "$0" + GUARD)),
     (lambda t: _x() & t.contains("…"), lambda t: F.regexp_replace(t, r"…(?=\s\p{Ll})", "$0" + GUARD)),
     (None, lambda t: F.when(_x(), F.regexp_replace(t, _ends(_ASCII + _SPACED), "$0" + CUT)).otherwise(F.regexp_replace(t, _ends(_ASCII), "$0" + CUT))),
+    (_misquoted, lambda t: F.regexp_replace(t, rf"[.!?]++(?!{GUARD}){_QUOTES}\s++(?=[^\p{{Ll}}\s])", "$0" + CUT)),
     (lambda t: _o() & t.rlike("[ก-ຮក-ឳ]"), lambda t: F.regexp_replace(t, r"(?<=[฀-໿ក-៿\p{Nd}”)])[  ​]+(?=[฀-໿ក-៿“(])", "$0" + CUT)),
 ]
 
