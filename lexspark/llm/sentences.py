@@ -109,11 +109,26 @@ _OPEN, _CLOSE = misread("“"), misread("”")
 _QUOTES = "(?:" + "|".join(map(re.escape, _CLOSE)) + ")"
 
 
-def _misquoted(t: Column) -> Column:
-    """Whether a text has misread quotation marks."""
-    usual = [x for x in _OPEN if not re.search(_ODD, x)]
-    odd = "|".join(re.escape(x) for x in _OPEN if x not in usual)
-    return reduce(or_, (t.contains(x) for x in usual), _o() & t.rlike(odd))
+_USUAL = [x for x in _OPEN if not re.search(_ODD, x)]
+_THAI = "ก-ຮក-ឳ"
+
+
+def _seldom(t: Column) -> Column:
+    """Whether a text has misread quotation marks, or a script that parts sentences by spaces."""
+    odd = "|".join(re.escape(x) for x in _OPEN if x not in _USUAL)
+    return reduce(or_, (t.contains(x) for x in _USUAL), _o() & t.rlike(f"[{_THAI}]|{odd}"))
+
+
+def _guard_seldom(t: Column) -> Column:
+    """Terminators within German or misread quotation marks and in addresses."""
+    t = F.regexp_replace(t, r"[.!?](?=[^„“\n]{1,400}+“)(?<=„[^„“\n]{0,400})", "$0" + GUARD)
+    t = F.regexp_replace(t, rf"[.!?]++(?=(?:(?!{'|'.join(map(re.escape, _OPEN))})[^\n]){{1,300}}?{_QUOTES})", "$0" + GUARD)
+    return F.regexp_replace(t, _URL, "$0" + GUARD)
+
+
+def _cut_seldom(t: Column) -> Column:
+    t = F.regexp_replace(t, rf"[.!?]++(?!{GUARD}){_QUOTES}\s++(?=[^\p{{Ll}}\s])", "$0" + CUT)
+    return F.regexp_replace(t, r"(?<=[฀-໿ក-៿\p{Nd}”)])[  ​]+(?=[“(]?[฀-໿ក-៿])", "$0" + CUT)
 
 
 _URL = r"[.!?](?=\S)(?<=(?:https?://|www\.)\S{1,200})"
@@ -137,14 +152,11 @@ _STEPS = [
     (_is_wrapped, _unwrap),
     (lambda t: _x(), lambda t: F.regexp_replace(t, rf"[{_SPACED}{_CJK}]++(?={_CLOSES})(?![”»」』)])", "$0" + GUARD)),
     (lambda t: t.contains('"'), lambda t: F.regexp_replace(t, r'[.!?](?=[^"\n]{1,400}+"[\s,;.:)])(?<=[\s(]"[^"\n]{0,400})', "$0" + GUARD)),
-    (lambda t: t.contains("„"), lambda t: F.regexp_replace(t, r"[.!?](?=[^„“\n]{1,400}+“)(?<=„[^„“\n]{0,400})", "$0" + GUARD)),
-    (_misquoted, lambda t: F.regexp_replace(t, rf"[.!?]++(?=(?:(?!{'|'.join(map(re.escape, _OPEN))})[^\n]){{1,300}}?{_QUOTES})", "$0" + GUARD)),
-    (lambda t: t.contains("://") | t.contains("www."), lambda t: F.regexp_replace(t, _URL, "$0" + GUARD)),
+    (lambda t: F.col("_q") | t.contains("„") | t.contains("://") | t.contains("www."), _guard_seldom),
     (None, lambda t: F.regexp_replace(t, _dots(), "$0" + GUARD)),
     (lambda t: _x() & t.contains("…"), lambda t: F.regexp_replace(t, r"…(?=\s\p{Ll})", "$0" + GUARD)),
     (None, lambda t: F.when(_x(), F.regexp_replace(t, _ends(_ASCII + _SPACED), "$0" + CUT)).otherwise(F.regexp_replace(t, _ends(_ASCII), "$0" + CUT))),
-    (_misquoted, lambda t: F.regexp_replace(t, rf"[.!?]++(?!{GUARD}){_QUOTES}\s++(?=[^\p{{Ll}}\s])", "$0" + CUT)),
-    (lambda t: _o() & t.rlike("[ก-ຮក-ឳ]"), lambda t: F.regexp_replace(t, r"(?<=[฀-໿ក-៿\p{Nd}”)])[  ​]+(?=[฀-໿ក-៿“(])", "$0" + CUT)),
+    (lambda t: F.col("_q"), _cut_seldom),
 ]
 
 _BLANKS = " \t\n\r\x0b\x0c\x85\xa0                　﻿"
@@ -175,7 +187,7 @@ def sentence_units(df: DataFrame, text: str, keep: list[str], with_text: bool =
     held = s.rlike(f"[{GUARD}{CUT}]")
     work = df.select(*[F.col(c).alias(k) for c, k in zip(keep, ks)], F.col(text).alias("_s"))
     work = work.withColumn("_o", s.rlike(_ODD))
-    work = work.withColumn("_x", _o() & s.rlike(f"[{_SPACED}{_CJK}]")).withColumn("_f", _o() & (held | s.rlike(_NEEDS_FOLD)))
+    work = work.withColumn("_x", _o() & s.rlike(f"[{_SPACED}{_CJK}]")).withColumn("_q", _seldom(s)).withColumn("_f", _o() & (held | s.rlike(_NEEDS_FOLD)))
     work = work.withColumn("_t", F.when(F.col("_f"), F.translate(_fold(s), GUARD + CUT, OTHER * 2)).otherwise(s))
     for i, (test, change) in enumerate(_STEPS):  # each a projection of its own, so that no step is worked out twice
         if i == 2 and with_text:  # lines are told by now: units of a text in which breaks changed come from the text as stored
