@@ -77,7 +77,7 @@ def _dots() -> str:
     lower = r"(?=\s+\p{Ll})"
     caps = rf"(?=\s+(?:{GOES_ON})\s)(?<=\p{{Lu}}\.)"
     return (
-        rf"[.!?]++(?:(?=[\s\p{{Lu}}]{_CLOSES})|(?<=\.)(?=[\s)])(?<!\p{{Ll}}{{6}}\.)(?:"  # no abbreviation ends in six small letters
+        rf"[.!?](?![.!?])(?:(?=[\s\p{{Lu}}]{_CLOSES})|(?<=\.)(?=[\s)])(?<!\p{{Ll}}{{6}}\.)(?:"  # no abbreviation ends in six small letters
         rf"{_before(NEVER)}(?!\n)"
         rf"|(?=\s?\p{{Nd}}){_before(BEFORE_FIGURE)}"
         rf"|(?<=(?:{MAY_END})\.)(?:{lower}|{caps})"
@@ -95,15 +95,21 @@ def _dots() -> str:
 
 def _ends(terms: str) -> str:
     cjk = rf"|[{_CJK}]++(?![{GUARD}”’」』）)])|[{_CJK}]++[”’」』）]++(?=\s)" if terms != _ASCII else ""
-    # White space behind an end is taken with it, so that units begin where pieces do.
-    return (
-        rf"(?:\n|[{terms}]++(?!{GUARD})(?:(?=\s)|[)\]]++(?=\s|\p{{Lu}})|[”’\"»“]++(?=\s+[^\p{{Ll}}\s])(?!\s+(?:E|AND|Y)\s)"
-        rf"|(?=[)\]”\"»“«¿¡(\p{{Lu}}])(?<=(?:\p{{L}}\p{{L}}|[\p{{Nd}}%º²λ)”])[{terms}]{{1,4}})[)\]”\"»]*+(?=[“«¿¡(]?\p{{Lu}}[\p{{Ll}}\p{{Lu}} ])){cjk})\s*+"
+    after = (
+        rf"(?!{GUARD})(?:(?=\s)|[)\]]++(?=\s|\p{{Lu}})|[”’\"»“]++(?=\s+[^\p{{Ll}}\s])(?!\s+(?:E|AND|Y)\s)"
+        rf"|(?=[)\]”\"»“«¿¡(\p{{Lu}}])(?<=(?:\p{{L}}\p{{L}}|[\p{{Nd}}%º²λ)”])[{terms}]{{1,4}})[)\]”\"»]*+(?=[“«¿¡(]?\p{{Lu}}[\p{{Ll}}\p{{Lu}} ]))"
     )
+    # White space behind an end is taken with it, so that units begin where pieces do. A class comes first, as a search
+    # for one character is the fastest.
+    if terms == _ASCII:
+        return rf"[\n{terms}](?:(?<=\n)|(?<!\n)[{terms}]*+{after})\s*+"
+    return rf"(?:\n|[{terms}]++{after}{cjk})\s*+"
 
 
-_ODD = "[\r\x80-\x9f\u00a0\u0131\u0251-\u0261\x0b\x0c\x85̀-‏…- ⁀-�]"
+# Any but the usual characters, in few ranges.
+_ODD = "[\r\x0b\x0c\x80-\xa0\u0131-\u200f\u2026-\u202f\u2040-\U0010ffff]"
 _o, _x = (lambda: F.col("_o")), (lambda: F.col("_x"))
+
 # Quotation marks as they look in text decoded with a wrong encoding; the opening ones tell that there are any.
 _OPEN, _CLOSE = misread("“"), misread("”")
 _QUOTES = "(?:" + "|".join(map(re.escape, _CLOSE)) + ")"
