@@ -43,14 +43,23 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+_written: list[str] = []
+
+
 def written(df: DataFrame, name: str = "table") -> DataFrame:
     """Write df to the shared folder as Parquet and read it back: cuts lineage, survives the loss of executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def is_cluster_safe_small(df: DataFrame, limit: int) -> bool:
-    """Whether df has at most limit rows; reads no more than limit + 1 of them."""
-    return df.limit(limit + 1).count() <= limit
+def drop_written(spark: SparkSession) -> int:
+    """Delete the tables that written() made in this process; call it once no frame built on them is needed. Returns how
+    many there were."""
+    n = len(_written)
+    while _written:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n
