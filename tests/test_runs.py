@@ -109,3 +109,12 @@ def test_stream(spark, tmp_path):
         assert spark.table("laws_stream").count() == 3
     finally:
         q.stop()
+
+
+def test_command_line(spark, corpus, tmp_path, capsys):
+    from lexspark.__main__ import main
+
+    r = main(["--input", corpus, "--output", str(tmp_path / "o"), "--min-year", "2000", "--delay", "0"], spark)
+    assert r["laws_processed"] == 1 and json.loads(capsys.readouterr().out.strip().split("\n")[-1]) == r
+    with pytest.raises(SystemExit):
+        main(["--output", "x"], spark)
