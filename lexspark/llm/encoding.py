@@ -110,6 +110,8 @@ def candidates(run: str, frequency: dict[str, float]) -> list[tuple[str, str, fl
 
     for m in _UTF8_READ_AS:
         once, n = _utf8(run, m)
+        if m == "cp1251" and n <= 2 and any("Ѐ" <= c <= "ӿ" for c in once):
+            continue  # a Cyrillic letter or two among Latin ones: look-alikes that happen to be valid, not misread Russian
         if n:
             add(f"utf-8 as {m}", once, BY_CHANCE**n * c1)
             twice, k = _utf8(once, "cp1252")

@@ -60,3 +60,8 @@ def test_long_runs(spark):
     d = corpus(spark, [russian, russian.encode().decode("latin-1")])
     got = {r.ord: r.text for r in E.find_garbled(d).collect()}
     assert got == {10_001: russian}
+
+
+def test_lookalikes_are_no_misreading(spark):
+    d = corpus(spark, ["SwјрmРіGkРѕQ de teste"])
+    assert E.find_garbled(d).count() == 0
