@@ -52,7 +52,21 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
+
+
+def drop(*frames: DataFrame) -> None:
+    """Delete the tables behind frames that written() returned, once nothing is read from them any more."""
+    for df in frames:
+        _written.remove(df.written_path)
+        _delete(df.sparkSession, df.written_path)
 
 
 def drop_written(spark: SparkSession) -> int:
@@ -60,6 +74,10 @@ def drop_written(spark: SparkSession) -> int:
     many there were."""
     n = len(_written)
     while _written:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, _written.pop())
     return n
+
+
+def tasks_for(spark: SparkSession, rows: int, each: int) -> int:
+    """How many tasks to shuffle rows into so that none gets much more than each of them."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // each))
