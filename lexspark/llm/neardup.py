@@ -5,16 +5,20 @@ coordinates of nine bits each, one block a 64-bit word. Over the seven coordinat
 the projective plane of order two: mask v keeps coordinate m when the bits v and m have in common are odd in number.
 Any two coordinates lie on one line, so whenever two sketches differ in at most two coordinates of a block, some mask
 hides every difference, and sketch & mask is equal: the pair collides in that table for certain, at any size of the
-collection. (Differences in three coordinates
-on a line are hidden as well.) Blocks are independent; the differences of a pair of similarity s are hidden in one block
-with probability 0.48 at s = 0.6, 0.59 at 0.65 and 0.69 at 0.7, so that BLOCKS = 7 all miss a pair about once in 95
-times at 0.6, in 480 at 0.65 and in 3,800 at 0.7. More blocks miss less: they are a parameter.
+collection. (Differences in three coordinates on a line are hidden as well.) Blocks are independent, and how many there
+are follows from the similarity asked for: as many as make all of them miss a pair just at that similarity at most once
+in 90 times (7 at 0.6, 3 at 0.8, 32 at 0.4); a more similar pair is missed far less often (at 0.7 with 7 blocks once in
+3,800).
 
 Plan. Texts with equal shingle sets collapse into one class first, so copies never meet in a bucket. Only classes are
-hashed; a bucket row is 5 numbers. Buckets are joined by key (the join is split by the engine where a bucket is hot),
-pairs are thinned within the join by size and by 126 one-bit min-wise hashes, and made distinct. What remains is checked
+hashed. Buckets of one class are dropped, then every bucket is joined with itself by a sort-merge join that is asked for,
+as no estimate knows how many rows a class has in buckets. A bucket of more than BUCKET_ROWS classes is cut into blocks
+of that size, and each pair of blocks is a cell with a key of its own: no task holds a hot bucket, and no pair is lost.
+Within the join pairs are thinned by size (exact) and by 126 one-bit min-wise hashes, whose limit follows from the
+similarity too (a pair at the similarity fails once in 10,000 times; thin=False leaves that out). What remains is checked
 exactly: shingle sets travel as sorted 32-bit hashes of the documents that are in a pair, and intersections are counted
 on them (two different shingles of one pair of sets are taken for equal about once in 70,000 pairs of usual size).
+Shuffles have as many tasks as their rows need.
 
 Edge cases: a NULL text belongs to no class and no pair; texts with fewer than WORDS words have no shingles and pair only
 with identical texts; repeated rows pair with each other (an id given twice is one document); an empty table gives an
@@ -23,6 +27,7 @@ empty result; ties don't matter, as the threshold is inclusive.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -32,13 +37,33 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.session import written
+from lexspark.session import drop, tasks_for, written
 
 WORDS, SIMILARITY = 5, 0.8
-BLOCKS, COORDINATES, BITS, CHECK_BITS, CHECK_LIMIT = 7, 7, 9, 126, 38
+COORDINATES, BITS, CHECK_BITS = 7, 9, 126
+#: Chance that all blocks, or that the check bits, miss a pair just at the similarity asked for.
+MISSED, THINNED = 0.011, 1e-4
+#: Classes in a block of a hot bucket, documents in a block of a hot class; rows of a shuffle's task.
+BUCKET_ROWS, TASK_ROWS = 2_000, 1_000_000
 _WORD = re.compile(r"[^\W_]+")
 
 
+def blocks_for(similarity: float) -> int:
+    """How many blocks miss a pair of that similarity with a chance of at most MISSED."""
+    s, q = similarity, 1 - similarity
+    hidden = s**7 + 7 * s**6 * q + 21 * s**5 * q**2 + 7 * s**4 * q**3  # none, one, two, or three on a line differ
+    return 1 if hidden >= 1 else max(1, math.ceil(math.log(MISSED) / math.log1p(-hidden)))
+
+
+def limit_for(similarity: float) -> int:
+    """The least number of differing check bits that a pair of that similarity exceeds with a chance of at most THINNED."""
+    p, tail, k = (1 - similarity) / 2, 1.0, -1
+    while tail > THINNED and k < CHECK_BITS:
+        k += 1
+        tail -= math.comb(CHECK_BITS, k) * p**k * (1 - p) ** (CHECK_BITS - k)
+    return k
+
+
 def masks() -> list[int]:
     """The seven masks of a block, as signed 64-bit words."""
     out = []
@@ -147,52 +172,93 @@ def _verify(similarity: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, blocks: int = BLOCKS) -> tuple[DataFrame, DataFrame]:
-    """(membership, links) of docs (id, text): one row (id, rep) per document, rep being the smallest id whose shingle set
-    equals its own, and one row (a, b, similarity), a < b, per pair of representatives at or above similarity."""
+def _cells(df: DataFrame, rows: str, ident: str) -> DataFrame:
+    """df with `own`, the block of a row in its group of `rows` rows, and one row for each `cell`, a pair of blocks, that
+    the row belongs to. Groups of at most BUCKET_ROWS rows are one block and one cell."""
+    blocks = F.ceil(F.col(rows) / BUCKET_ROWS)
+    df = df.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64(ident), F.col("blocks")))
+    cell = lambda j: F.least("own", j) * F.col("blocks") + F.greatest("own", j)
+    return df.withColumn("cell", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), cell)))
+
+
+def _once(l: str, r: str, ident: str):
+    """Of two rows of a cell: whether they are to be taken together here and in this order."""
+    a, b = (lambda c: F.col(f"{l}.{c}")), (lambda c: F.col(f"{r}.{c}"))
+    diagonal = (a("own") == b("own")) & (a("cell") == a("own") * (a("blocks") + 1)) & (a(ident) < b(ident))
+    return (a("own") < b("own")) | diagonal
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, blocks: int | None = None, thin: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(membership, links) of docs (id, text): one row (id, rep, copies) per document, rep being the smallest id whose
+    shingle set equals its own and copies how many documents share it, and one row (a, b, similarity), a < b, per pair of
+    representatives at or above similarity."""
+    if not 0 < similarity <= 1:
+        raise ValueError("similarity must be above 0 and at most 1")
+    spark, blocks = docs.sparkSession, blocks or blocks_for(similarity)
     docs = docs.select(F.col("id").cast("long").alias("id"), F.col("text"))
     sk = written(docs.mapInArrow(_sketch(words, blocks), "id long, k0 long, k1 long, n int, sk array<long>, c0 long, c1 long"), "sketches")
-    reps = sk.groupBy("k0", "k1").agg(F.min("id").alias("rep"), F.any_value("n").alias("n"), F.any_value("sk").alias("sk"), F.any_value("c0").alias("c0"), F.any_value("c1").alias("c1"))
-    members = sk.select("id", "k0", "k1").join(reps.select("k0", "k1", "rep"), ["k0", "k1"]).select("id", "rep").distinct()
+    classes = sk.groupBy("k0", "k1").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), *[F.any_value(c).alias(c) for c in ("n", "sk", "c0", "c1")])
+    classes = written(classes, "classes")
+    members = sk.select("id", "k0", "k1").join(classes.select("k0", "k1", "rep", "copies").hint("merge"), ["k0", "k1"]).select("id", "rep", "copies").distinct()
     tables = F.array(*[F.xxhash64(F.col("sk")[b].bitwiseAND(F.lit(m)), F.lit(b * COORDINATES + i)) for b in range(blocks) for i, m in enumerate(masks())])
-    rows = reps.where("n > 0").select("rep", "n", "c0", "c1", F.explode(tables).alias("key"))
-    l, r = rows.alias("l"), rows.alias("r")
+    rows = classes.where("n > 0").select("rep", "n", "c0", "c1", F.explode(tables).alias("key"))
+    tasks = tasks_for(spark, classes.count() * blocks * COORDINATES, TASK_ROWS)
+    shared = rows.select("key").repartition(tasks, "key").groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+    rows = _cells(rows.repartition(tasks, "key").join(shared.hint("merge"), "key"), "c", "rep").select("key", "cell", "own", "blocks", "rep", "n", "c0", "c1")
+    rows = rows.repartition(tasks, "key", "cell")
     distance = F.bit_count(F.col("l.c0").bitwiseXOR(F.col("r.c0"))) + F.bit_count(F.col("l.c1").bitwiseXOR(F.col("r.c1")))
-    smaller, larger = F.least("l.n", "r.n"), F.greatest("l.n", "r.n")
-    near = (F.col("l.rep") < F.col("r.rep")) & (smaller >= larger * F.lit(similarity)) & (distance <= CHECK_LIMIT)
-    pairs = l.join(r, (F.col("l.key") == F.col("r.key")) & near).select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")).distinct()
-    pairs = written(pairs, "candidates")
+    near = F.least("l.n", "r.n") >= F.greatest("l.n", "r.n") * F.lit(similarity)
+    if thin:
+        near &= distance <= limit_for(similarity)
+    same = (F.col("l.key") == F.col("r.key")) & (F.col("l.cell") == F.col("r.cell"))
+    found = rows.alias("l").join(rows.alias("r").hint("merge"), same & _once("l", "r", "rep") & near)
+    pairs = written(found.select(F.least("l.rep", "r.rep").alias("a"), F.greatest("l.rep", "r.rep").alias("b")).distinct(), "candidates")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = docs.where("text IS NOT NULL").join(wanted, "id", "left_semi").mapInArrow(_sets(words), "id long, set binary")
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
-    links = both.select("a", "b", "x", "y").mapInArrow(_verify(similarity), "a long, b long, similarity double")
+    sets = docs.where("text IS NOT NULL").join(wanted.hint("merge"), "id", "left_semi").mapInArrow(_sets(words), "id long, set binary")
+    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")).hint("merge"), "a")
+    both = both.join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")).hint("merge"), "b")
+    links = both.select("a", "b", "x", "y").mapInArrow(_verify(similarity), "a long, b long, similarity double").dropDuplicates(["a", "b"])  # an id may be given twice
     return members, links
 
 
 def all_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Every pair (ord_a, ord_b), ord_a < ord_b, of documents: linked classes and copies within a class, written out."""
-    m = members
-    within = m.select("rep", F.col("id").alias("x")).join(m.select("rep", F.col("id").alias("y")), "rep").where("x < y").select("x", "y")
-    across = links.join(m.select(F.col("rep").alias("a"), F.col("id").alias("x")), "a").join(m.select(F.col("rep").alias("b"), F.col("id").alias("y")), "b").select("x", "y")
-    return within.unionAll(across).select(F.least("x", "y").alias("ord_a"), F.greatest("x", "y").alias("ord_b"))
+    """Every pair (ord_a, ord_b), ord_a < ord_b, of documents: linked classes and copies within a class, written out.
+    That is quadratic in the copies of a class, as the form asks for; classes of many copies are spread over tasks. groups()
+    is the form for large collections."""
+    m = _cells(members.where("copies > 1"), "copies", "id")
+    same = (F.col("l.rep") == F.col("r.rep")) & (F.col("l.cell") == F.col("r.cell"))
+    within = m.alias("l").join(m.alias("r").hint("merge"), same & _once("l", "r", "id")).select(F.col("l.id").alias("x"), F.col("r.id").alias("y"))
+    blocks = F.ceil(F.col("copies") / BUCKET_ROWS)
+    part = members.select("rep", "id", F.pmod(F.xxhash64("id"), blocks).alias("part"))
+    large = members.where(F.col("copies") > BUCKET_ROWS).select("rep", blocks.alias("parts")).distinct()
+
+    def expand(df: DataFrame, rep: str, to: str) -> DataFrame:
+        """A row for each member of the class in column rep; a large class is met part by part."""
+        df = df.join(large.select(F.col("rep").alias(rep), "parts").hint("merge"), rep, "left")
+        df = df.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+        return df.join(part.select(F.col("rep").alias(rep), F.col("id").alias(to), "part").hint("merge"), [rep, "part"]).drop("part", rep)
+
+    across = expand(expand(links.select("a", "b"), "a", "x"), "b", "y")
+    return within.unionByName(across).select(F.least("x", "y").alias("ord_a"), F.greatest("x", "y").alias("ord_b"))
 
 
 def groups(members: DataFrame, links: DataFrame, rounds: int = 50) -> DataFrame:
     """One row (id, group, links) per document: group is the smallest id reachable over links, links the number of its
     class's links to other classes. Labels spread along links and are then looked up once more, so that rounds grow with
-    the logarithm of the longest chain; each round is written to the shared folder."""
+    the logarithm of the longest chain; each round is written to the shared folder, and the round before it deleted."""
     edges = written(links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
     label = written(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")), "labels")
     for _ in range(rounds):
-        seen = edges.join(label.select(F.col("a").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("m"))
-        low = label.join(seen, "a").select("a", F.least("label", "m").alias("m"), F.col("label").alias("was"))
-        jump = low.join(low.select(F.col("a").alias("m"), F.col("m").alias("far")), "m", "left")
+        seen = edges.join(label.select(F.col("a").alias("b"), "label").hint("merge"), "b").groupBy("a").agg(F.min("label").alias("m"))
+        low = label.join(seen.hint("merge"), "a").select("a", F.least("label", "m").alias("m"), F.col("label").alias("was"))
+        jump = low.join(low.select(F.col("a").alias("m"), F.col("m").alias("far")).hint("merge"), "m", "left")
         new = written(jump.select("a", F.least("m", F.coalesce("far", "m")).alias("label"), "was"), "labels")
-        label = new.select("a", "label")
+        drop(label)
+        label = new
         if new.where("label <> was").isEmpty():
             break
     else:
         raise RuntimeError("labels didn't settle")
     degree = edges.groupBy("a").agg(F.count("*").alias("links"))
-    found = label.join(degree, "a")
-    return members.join(found, members.rep == found.a, "left").select("id", F.coalesce("label", "rep").alias("group"), F.coalesce("links", F.lit(0)).alias("links"))
+    found = label.select("a", "label").join(degree.hint("merge"), "a")
+    return members.join(found.hint("merge"), members.rep == found.a, "left").select("id", F.coalesce("label", "rep").alias("group"), F.coalesce("links", F.lit(0)).alias("links"))
