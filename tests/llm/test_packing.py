@@ -51,6 +51,36 @@ def test_operator(spark):
     assert Counter((r.container, r.item, r.piece) for r in again) == Counter((r.container, r.item, r.piece) for r in got)
 
 
+def test_items_that_fit_nothing_end_in_groups_of_bounded_size(spark, monkeypatch):
+    from lexspark.llm import packing
+
+    rows = [(i, 1100, "ab"[i % 2], "", "x", 1) for i in range(2000)] + [(5000 + i, 30, "a", "", "x", 1) for i in range(7)]
+    got = pack_containers(docs(spark, rows).repartition(3), 2048, group_rows=100).collect()
+    assert Counter(r.item for r in got) == Counter(i for i, *_ in rows)
+    groups = Counter(r.container.rsplit("-", 2)[0] for r in got)
+    parts = Counter(r.container.rsplit("-", 1)[0] for r in got)
+    assert max(parts.values()) <= 100 and len(groups) > 10
+    assert len({r.container for r in got}) == 2000
+
+
+def test_a_repeated_row_spreads(spark):
+    rows = [(1, 10, "a", "", "x", 1)] * 6000 + [(2, 10, "b", "", "x", 1)] * 3000
+    got = pack_containers(docs(spark, rows).repartition(4), 2048, group_rows=500).collect()
+    assert Counter(r.item for r in got) == Counter({1: 6000, 2: 3000})
+    assert max(Counter(r.container.rsplit("-", 1)[0] for r in got).values()) <= 500
+    fill = Counter()
+    for r in got:
+        fill[r.container] += r.size
+    assert max(fill.values()) <= 2048 and len(fill) <= -(-90_000 // 2048) + 2
+
+
+def test_targets_and_texts_not_needed(spark):
+    rows = [(i, 10, "a" if i % 3 else None, "", "x", 1) for i in range(900)]
+    got = pack_containers(docs(spark, rows).drop("text"), 100, target={"a": 0.5, None: 0.5}).collect()
+    first = [r for r in got if r.container.endswith("-0")]
+    assert len(got) == 900 and abs(sum(r.source is None for r in first) - 5) <= 1
+
+
 def test_edges(spark):
     assert pack_containers(docs(spark, []), 2048).count() == 0
     with pytest.raises(ValueError):
