@@ -2,10 +2,12 @@ r"""Problem 1: cutting oversized texts at natural boundaries.
 
 Method: lexical-cohesion segmentation. At every possible cut the word counts of the BLOCK words before and after are
 compared (cosine); where cohesion falls, a topic ends. A cut's depth is how far its similarity lies below the peaks on
-either side. From where a piece starts, the cuts in the window that would fill it between MIN_FILL and the limit are
-looked at; among those of the strongest kind present (article or heading, paragraph, line, sentence, word) the deepest
-valley wins, the later one on a tie. Without any boundary (one unbroken run) the cut falls at the limit. Each further
-piece starts exactly `overlap` characters before the end of the one before.
+either side, however far off these are. From where a piece starts, the natural boundaries (article or heading, paragraph,
+line, sentence) in the window that would fill it between MIN_FILL and the limit are looked at, and the deepest valley
+among them wins. The kind of boundary adds to the depth, a little for each step (STEP), so that of valleys of much the
+same depth the one at an article is taken, and a flat text is cut at its strongest boundary; the later one wins a tie. A
+window without a natural boundary is cut at the deepest valley between its words, one without any (an unbroken run) at
+the limit. Each further piece starts exactly `overlap` characters before the end of the one before.
 
 Only oversized texts reach Python; the rest pass through the JVM as one piece. One narrow stage, no shuffle; work is
 linear in the text.
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK, MIN_FILL = 60, 0.5
+BLOCK, MIN_FILL, STEP = 60, 0.5, 0.02
 _WORD = re.compile(r"[^\W\d_]{3,}")
 _HEAD = r"(?:Art\.|ART\.|§|CAPÍTULO|TÍTULO|SEÇÃO|Seção|ANEXO|Anexo|Parágrafo|PARÁGRAFO)"
 # Strength, pattern; a cut lies behind a match, so that white space stays with the piece before.
@@ -57,30 +60,25 @@ def _similarity(words: list[str], i: int) -> float:
     return dot / math.sqrt(sum(n * n for n in a.values()) * sum(n * n for n in b.values()))
 
 
-def depths(text: str, at: list[int]) -> list[float]:
-    """Depth of the cohesion valley at each position (ascending)."""
-    words, starts = [], []
-    for m in _WORD.finditer(text):
-        words.append(m.group().lower())
-        starts.append(m.start())
-    sims, i = [], 0
-    for p in at:
-        while i < len(starts) and starts[i] < p:
-            i += 1
-        sims.append(_similarity(words, i))
-    out = []
-    for k, s in enumerate(sims):
-        left = right = s
-        for x in reversed(sims[max(0, k - 20) : k]):
-            if x < left:
-                break
-            left = x
-        for x in sims[k + 1 : k + 21]:
-            if x < right:
-                break
-            right = x
-        out.append(left - s + right - s)
-    return out
+class _Words:
+    """The words of a text, for the similarity of what stands before and after a place."""
+
+    def __init__(self, text: str):
+        found = list(_WORD.finditer(text))
+        self.words, self.starts = [m.group().lower() for m in found], [m.start() for m in found]
+
+    def depths(self, at: list[int]) -> list[float]:
+        """Depth of the cohesion valley at each position (ascending). Peaks are climbed to as long as the similarity
+        doesn't fall, which takes one pass in each direction."""
+        sims = [_similarity(self.words, bisect_left(self.starts, p)) for p in at]
+        left, right = sims[:], sims[:]
+        for k in range(1, len(sims)):
+            if sims[k - 1] >= sims[k]:
+                left[k] = left[k - 1]
+        for k in range(len(sims) - 2, -1, -1):
+            if sims[k + 1] >= sims[k]:
+                right[k] = right[k + 1]
+        return [a - s + b - s for s, a, b in zip(sims, left, right)]
 
 
 def split_text(text: str, max_size: int, overlap: int = 0) -> list[tuple[int, int]]:
@@ -89,9 +87,9 @@ def split_text(text: str, max_size: int, overlap: int = 0) -> list[tuple[int, in
         raise ValueError("max_size must be positive and overlap less than half of it")
     if len(text) <= max_size:
         return [(0, len(text))]
-    places = cuts(text)
-    strong = [p for p, s in places if s > 1]
-    depth = dict(zip(strong, depths(text, strong)))
+    places, words = cuts(text), _Words(text)
+    natural = [p for p, s in places if s > 1]
+    depth = dict(zip(natural, words.depths(natural)))
     pieces, start, first = [], 0, 0
     while len(text) - start > max_size:
         last = start + max_size
@@ -99,14 +97,15 @@ def split_text(text: str, max_size: int, overlap: int = 0) -> list[tuple[int, in
         least = max(start + int(max_size * MIN_FILL), (pieces[-1][1] if pieces else 0) + 1)
         while first < len(places) and places[first][0] < least:
             first += 1
-        best, k = None, first
+        k, window = first, []
         while k < len(places) and places[k][0] <= last:
-            p, s = places[k]
-            score = (s, round(depth.get(p, 0.0), 9), p)
-            if best is None or score > best:
-                best = score
+            window.append(places[k])
             k += 1
-        end = best[2] if best else last
+        best = max(((round(depth[p] + STEP * s, 9), p) for p, s in window if s > 1), default=None)
+        if best is None and window:
+            at = [p for p, _ in window]
+            best = max(zip((round(d, 9) for d in words.depths(at)), at))
+        end = best[1] if best else last
         pieces.append((start, end))
         start = end - overlap
     pieces.append((start, len(text)))

@@ -22,6 +22,39 @@ def test_cuts_at_the_topic_boundary():
     assert (x, y) == (0, len(a))
 
 
+TOPICS = ["O imposto incide sobre a renda do contribuinte e a alíquota sobe.", "A vacina protege o paciente contra doenças graves no hospital.", "O atleta venceu o campeonato no estádio diante da torcida."]
+
+
+def test_a_deep_valley_beats_a_heading():
+    a, b = (TOPICS[0] + " ") * 5, (TOPICS[1] + " ") * 5
+    text = a + b[: len(TOPICS[1]) * 2 + 2] + "\nArt. 9 " + b + b
+    assert split_text(text, 600)[0] == (0, len(a))  # not at the article, which lies within one topic
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(8, 16), min_size=3, max_size=8))
+def test_planted_topics_are_found(lengths):
+    parts = [(TOPICS[i % 3] + " ") * n for i, n in enumerate(lengths)]
+    text, ends, at = "".join(parts), set(), 0
+    for p in parts:
+        at += len(p)
+        ends.add(at)
+    for a, b in split_text(text, 1200)[:-1]:
+        inside = [e for e in ends if a + 600 <= e <= a + 1200]
+        assert not inside or b in ends
+
+
+def test_words_have_valleys_too():
+    a, b = "imposto renda contribuinte " * 12, "vacina hospital paciente " * 12
+    assert split_text(a + b, 500)[0] == (0, len(a))
+
+
+def test_length_alone_changes_nothing():
+    text = "".join((TOPICS[i % 3] + " ") * 12 for i in range(9))
+    few, many = split_text(text, 1000), split_text(text * 6, 1000)
+    assert many[: len(few) - 2] == few[:-2]
+
+
 def test_prefers_articles_and_falls_back():
     text = "Art. 1º " + "palavra " * 20 + ".\n\nArt. 2º " + "outra coisa " * 20
     assert text[split_text(text, 250)[1][0] :].startswith("Art. 2º")
