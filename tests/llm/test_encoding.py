@@ -62,6 +62,70 @@ def test_long_runs(spark):
     assert got == {10_001: russian}
 
 
+def test_length_alone_changes_nothing(spark):
+    words = ["Ïðåäñåäàòåëü", "Ïðèâåò", "çàñåäàíèå", "äîãîâîð"]  # cp1251 read as cp1252
+    clean = [w.encode("cp1252").decode("cp1251") for w in words]
+    d = corpus(spark, clean * 200 + words + [" ".join(words + [""]) * 8])
+    got = {r.ord - 10_000: r.text for r in E.find_garbled(d).collect()}
+    assert got == dict(enumerate(clean, 800)) | {804: " ".join(clean + [""]) * 8}
+
+
+def test_unseen_scripts_in_stretches(spark):
+    greek = "τα μέρη εξετάζουν το πρωτόκολλο"
+    d = corpus(spark, [greek.encode().decode("latin-1"), greek.encode().decode("cp850")])
+    assert [r.text for r in E.find_garbled(d).collect()] == [greek] * 2
+
+
 def test_lookalikes_are_no_misreading(spark):
     d = corpus(spark, ["SwјрmРіGkРѕQ de teste"])
     assert E.find_garbled(d).count() == 0
+
+
+def test_chance_is_no_misreading(spark):
+    d = corpus(spark, ["\u0430\u0455\u0455\u0456m que a \u0441\u043en\u0441\u0435\u0455\u0455\u00e3\u043e", "sal\u00e1\u00ad\u00adrios", "restitui\u0131\u00e7\u00e3o"] * 3)
+    assert E.find_garbled(d).count() == 0
+
+
+def test_atoms():
+    twice = "çã".encode().decode("cp1252").encode().decode("cp1252")
+    assert "".join(E.atoms(twice)) == twice and len(E.atoms(twice)) == 2 and E.atoms("éà") == ["é", "à"]
+    assert E.units_of("a", "Ã§Ã£", "o") == [("a", "Ã§", "U "), ("U ", "Ã£", "o")]
+    assert E.units_of("", "中", "") == [("", "中", "")]
+    assert E.fit([]).bad == {}
+
+
+def test_the_table_is_bounded_by_alphabets():
+    import pyarrow as pa
+
+    def size(n):
+        texts = pa.array([f"palavra{chr(97 + i % 26)}ção número {i} Стороны{chr(0x430 + i % 32)}{chr(0x430 + i // 32 % 32)}" for i in range(n)])
+        batch = pa.RecordBatch.from_arrays([pa.array(["p"] * n), texts], names=["pool", "text"])
+        return next(E._count_units(iter([batch]))).num_rows
+
+    assert size(20_000) == size(40_000)
+
+
+def test_planted_garbling_is_found_and_restored(spark):
+    """Precision and recall by chain, on clean rows of its own garbled here."""
+    import random
+
+    rng = random.Random(8)
+    words = sorted({w for t in CLEAN[:5] for w in t.split()})
+    rows = [("t", "f", i, " ".join(rng.choices(words, k=25)), "x") for i in range(1500)]
+    made = {}
+    for j, (name, f) in enumerate(sorted(CHAINS.items())):
+        for i in range(40):
+            t = " ".join(rng.choices(words, k=25))
+            try:
+                wrong = f(t)
+            except UnicodeError:  # not every byte has a character there
+                continue
+            if wrong != t:
+                made[10_000 + j * 100 + i] = (name, t)
+                rows.append(("t", "f", 10_000 + j * 100 + i, wrong, "x"))
+    got = {r.ord: r for r in E.find_garbled(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    assert set(got) == set(made)
+    for name in CHAINS:
+        ours = [(got[k].text, t) for k, (n, t) in made.items() if n == name]
+        if name not in ("utf8", "to cp1252"):  # those lose characters or have none for some
+            assert sum(a == b for a, b in ours) >= 0.9 * len(ours), name
