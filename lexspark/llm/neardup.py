@@ -185,7 +185,8 @@ def _once(l: str, r: str, ident: str):
     """Of two rows of a cell: whether they are to be taken together here and in this order."""
     a, b = (lambda c: F.col(f"{l}.{c}")), (lambda c: F.col(f"{r}.{c}"))
     diagonal = (a("own") == b("own")) & (a("cell") == a("own") * (a("blocks") + 1)) & (a(ident) < b(ident))
-    return (a("own") < b("own")) | diagonal
+    # That blocks are equal goes without saying; said, both sides read the same columns and are shuffled once for both.
+    return (a("blocks") == b("blocks")) & ((a("own") < b("own")) | diagonal)
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, blocks: int | None = None, thin: bool = True) -> tuple[DataFrame, DataFrame]:
