@@ -5,8 +5,10 @@ Method: protect, split, restore. A private-use placeholder (GUARD) is put behind
 of each script that carry no guard get a second placeholder (CUT); the text is split at CUT and the guards are taken
 out again. Positions are sums of restored lengths, so they count code points of the text as stored.
 
-Every row is handled by itself: one narrow stage, no shuffle, no Python. Work per text is linear, but for the running
-sum of positions, which copies an array of one long per unit.
+Quotes, brackets and addresses are followed from where they open, each terminator inside from the one before (\G), so that
+they may be of any length and every character is looked at a bounded number of times. Every row is handled by itself: one
+narrow stage, no shuffle, no Python. Work is linear in the text, but for running sums of positions, which are made in
+blocks of as many units as there are blocks (a step copies an array of that length).
 
 Results in edge cases: NULL, empty and blank texts have no units; a text without terminators is one unit per line; equal
 rows give equal units; private-use characters that equal a placeholder count as ordinary characters and come back as
@@ -27,17 +29,28 @@ from lexspark.llm.lookalikes import SAME_LOOK, SINGLE
 
 GUARD, CUT, OTHER = "", "", "￼"
 
-# Fixed values. Abbreviations that never end a unit, those that end one unless a lower-case word follows, and those that
-# are abbreviations only before a figure.
-NEVER = (
-    "art|arts|Art|Arts|ART|ARTS|n|N|nn|inc|incs|INC|p|P|pp|fl|fls|FLS|FL|j|J|v|V|vs|seç|SEÇ|sec|proc|PROC|rel|REL|ac|AC|cf|Cf|CF|Sr|SR|Sra|SRA|Srs|Dr|DR|Dra|DRA|Drs"
-    "|Exma|EXMA|Exmo|EXMO|Min|MIN|Des|DES|Prof|Inst|INST|Cia|CIA|Av|núm|NÚM|num|aprox|doc|DOC|docs|Mr|Mrs|Ms|MR|Messrs|M|Mme|párr|PÁRR|párrs|al|i|St"
-    "|ст|СТ|п|П|тыс|ТЫС|Abs|ABS|Nr|NR|Art|z|Bd|د|डॉ|ex|g|v\\.g|p\\.ex|obs|ref|séc|tel|alín"
-)
-MAY_END = "etc|Etc|ETC|Jr|JR|Ltda|LTDA|Inc|Co|Corp|min|г|Г|руб|РУБ|usw|\\p{Lu}\\.\\p{Lu}|i\\.\\s?e|e\\.\\s?g|i\\.e|e\\.g|z\\.\\s?B|d\\.\\s?h"
-BEFORE_FIGURE = "no|No|NO|para|Para|PARA|par|cap|Cap|tít|sect|Sect|ch|núms"
-# In text all in capitals the next word tells instead of its case.
-GOES_ON = "DEVERÁ|E|QUANDO|CABERÁ|DE|DA|DO|AND|Y|OU|QUE|THEN|DOS|DAS"
+# Abbreviations in common use in Portuguese, Spanish, English, French, German, Russian, Arabic and Hindi texts.
+# Forms with a capital first letter and all in capitals follow by rule.
+_WORDS = "art arts nn inc incs pp fl fls seç sec proc rel ac cf núm num aprox doc docs párr párrs al ex obs ref séc tel alín ст тыс"
+_TITLES = "Sr Sra Srs Dr Dra Drs Exma Exmo Min Des Prof Inst Cia Av Mr Mrs Ms Messrs Mme St Abs Nr Bd"
+_LETTERS = r"n N p P j J v V M i z g п П د डॉ v\.g p\.ex"
+# Those that end a unit unless a lower-case word follows, and those that are abbreviations only before a figure.
+_COMPANY, _ENDING = "Jr Ltda Inc Co Corp", "etc usw руб"
+_PATTERNS = r"min г Г \p{Lu}\.\p{Lu} i\.\s?e e\.\s?g z\.\s?B d\.\s?h"
+_FIGURE = "no para par cap tít sect ch núms"
+# In text all in capitals the next word tells instead of its case: conjunctions, genitives and auxiliary verbs go on.
+_ON = "e ou nem y and or de da do das dos del of que that quando then deverá caberá poderá shall"
+
+
+def _forms(words: str, lower: bool = True) -> str:
+    return "|".join(dict.fromkeys(f for w in words.split() for f in ([w] if lower else []) + [w[0].upper() + w[1:], w.upper()]))
+
+
+NEVER = "|".join((_forms(_WORDS), _forms(_TITLES, False), *_LETTERS.split()))
+MAY_END = "|".join((_forms(_ENDING), _forms(_COMPANY, False), *_PATTERNS.split()))
+BEFORE_FIGURE, GOES_ON = _forms(_FIGURE), "|".join(w.upper() for w in _ON.split())
+#: No abbreviation ends in that many small letters, so that longer words needn't be looked up.
+_LONG_WORD = 1 + max(len(re.search(r"[^\W\d_A-Z]*$", w)[0]) for w in f"{NEVER}|{MAY_END}|{BEFORE_FIGURE}".split("|"))
 
 # Terminators: those of Latin text, those of other scripts that take a space, those that take none.
 _ASCII, _SPACED, _CJK = ".!?", "…؟।॥۔։።", "。！？｡"
@@ -51,17 +64,35 @@ def _unix(t: Column) -> Column:
 def _unwrap(t: Column) -> Column:
     """Text broken at a fixed width: a line break becomes a space, but for blank lines and those before list items. Items
     run on inside a line may also stand behind a break; the item before them tells."""
-    t = F.regexp_replace(t, r"\n(?<=[:;] [IVX]{1,4} [-–] [^\n]{0,120}\n)(?=[IVX]{1,4} [-–] )", " ")
+    t = F.regexp_replace(t, r"([:;] [IVX]{1,4} [-–] [^\n]*+)\n(?=[IVX]{1,4} [-–] )", "$1 ")
     return F.regexp_replace(t, rf"\n(?<=\S[ ]?\n)(?=[ ]?\S)(?![ ]?(?:{_LABEL}))", " ")
 
 
+#: A line that breaks within a sentence; a line longer than text is set.
+_BROKEN, _UNBROKEN = r"[\p{Ll}\p{Nd},؀-ۿऀ-ॣ][ ]?\n(?!\p{Ll}\))[\p{Ll}؀-ۿऀ-ॣ]", r"(?:^|\n)[^\n]{126}"
+
+
 def _is_wrapped(t: Column) -> Column:
-    """No line is long, and some line breaks within a sentence."""
-    return ~t.rlike(r"(?:^|\n)[^\n]{126}") & t.rlike(r"[\p{Ll}\p{Nd},؀-ۿऀ-ॣ][ ]?\n(?!\p{Ll}\))[\p{Ll}؀-ۿऀ-ॣ]")
+    """More lines break within a sentence than run long."""
+    return t.rlike(_BROKEN) & (F.regexp_count(t, F.lit(_BROKEN)) > F.regexp_count(t, F.lit(_UNBROKEN)))
+
+
+_MARKS, _CLOSING = r"\n()«»“-‟「-』", "”»」』)"
+
 
+def _inside(opens: str, stops: str, closes: str, terms: str, but: str) -> str:
+    """The way to the next terminator (terms, unless `but` follows) in a passage that begins at `opens` and runs, without
+    a character of stops, up to one of closes."""
+    skip = rf"[^{stops}{terms}]*+"
+    return rf"(?:{opens}(?=[^{stops}]*+{closes})|\G(?!\A)){skip}(?:[{terms}](?={but}){skip})*+[{terms}](?!{but})"
 
-#: The next quote or bracket closes: what stands before it is inside.
-_CLOSES = r"[^\n()«»“-‟「-』]{0,300}+[”»」』)]"
+
+# Whatever the next quotation mark or bracket closes is inside, but for the bracket of a label such as a).
+_CLOSES = rf"[{_CLOSING}](?<!\s(?:\p{{L}}|\p{{Nd}}{{1,3}}|[IVXivx]{{1,5}})\))"
+_LATIN_INSIDE = _inside(f"[{_MARKS}]", _MARKS, _CLOSES, ".!?", r"[^\s\p{Lu}]|\z")
+_OTHER_INSIDE = _inside(f"[{_MARKS}]", _MARKS, _CLOSES, _SPACED + _CJK, f"[{_CLOSING}]")
+_STRAIGHT_INSIDE = _inside(r'(?<=[\s(])"', r'"\n', r'"[\s,;.:)]', ".!?", '"')
+_GERMAN_INSIDE = _inside("„", r"„“\n", "“", ".!?", "“")
 
 
 def _before(words: str) -> str:
@@ -73,11 +104,11 @@ def _before(words: str) -> str:
 
 
 def _dots() -> str:
-    """Terminators within quotes or brackets, and dots that don't end a unit."""
+    """Dots that don't end a unit."""
     lower = r"(?=\s+\p{Ll})"
     caps = rf"(?=\s+(?:{GOES_ON})\s)(?<=\p{{Lu}}\.)"
     return (
-        rf"[.!?](?![.!?])(?:(?=[\s\p{{Lu}}]{_CLOSES})|(?<=\.)(?=[\s)])(?<!\p{{Ll}}{{6}}\.)(?:"  # no abbreviation ends in six small letters
+        rf"\.(?=[\s)])(?<!\p{{Ll}}{{{_LONG_WORD}}}\.)(?:"
         rf"{_before(NEVER)}(?!\n)"
         rf"|(?=\s?\p{{Nd}}){_before(BEFORE_FIGURE)}"
         rf"|(?<=(?:{MAY_END})\.)(?:{lower}|{caps})"
@@ -89,7 +120,7 @@ def _dots() -> str:
         r"|(?<=\(\.\.\.)(?=\))"
         rf"|(?<=\.\.\.)(?:{lower}|(?=\s(?:{GOES_ON})\s))"
         r"|(?<=\d\.)(?=\s(?:Januar|Februar|März|April|Mai|Juni|Juli|August|September|Oktober|November|Dezember)\s)"  # German dates
-        r"))"
+        r")"
     )
 
 
@@ -125,11 +156,18 @@ def _seldom(t: Column) -> Column:
     return reduce(or_, (t.contains(x) for x in _USUAL), _o() & t.rlike(f"[{_THAI}]|{odd}"))
 
 
+_ANY_OPEN = "|".join(map(re.escape, _OPEN))
+_MISREAD_INSIDE = (
+    rf"(?:(?:{_ANY_OPEN})(?=(?:(?!{_ANY_OPEN}|{_QUOTES})[^\n])*+{_QUOTES})|\G(?!\A))(?:(?!{_QUOTES})[^\n.!?])*+[.!?]++(?!{_QUOTES})"
+)
+_URL = r"(?:https?://|www\.|\G(?!\A))[^\s.!?]*+[.!?](?=\S)"
+
+
 def _guard_seldom(t: Column) -> Column:
     """Terminators within German or misread quotation marks and in addresses."""
-    t = F.regexp_replace(t, r"[.!?](?=[^„“\n]{1,400}+“)(?<=„[^„“\n]{0,400})", "$0" + GUARD)
-    t = F.regexp_replace(t, rf"[.!?]++(?=(?:(?!{'|'.join(map(re.escape, _OPEN))})[^\n]){{1,300}}?{_QUOTES})", "$0" + GUARD)
-    return F.regexp_replace(t, _URL, "$0" + GUARD)
+    for pattern in (_GERMAN_INSIDE, _MISREAD_INSIDE, _URL):
+        t = F.regexp_replace(t, pattern, "$0" + GUARD)
+    return t
 
 
 def _cut_seldom(t: Column) -> Column:
@@ -137,8 +175,6 @@ def _cut_seldom(t: Column) -> Column:
     return F.regexp_replace(t, r"(?<=[฀-໿ក-៿\p{Nd}”)])[  ​]+(?=[“(]?[฀-໿ក-៿])", "$0" + CUT)
 
 
-_URL = r"[.!?](?=\S)(?<=(?:https?://|www\.)\S{1,200})"
-
 # For finding boundaries, odd spaces count as spaces and look-alike letters in Latin words as the letters they look like,
 # one for one, so that places stay. Texts with words of another script keep that script's letters.
 _SPACES = "               　"
@@ -156,8 +192,9 @@ def _fold(t: Column) -> Column:
 _STEPS = [
     (lambda t: _o() & t.rlike("[\r\x0b\x0c\x85  ]"), _unix),
     (_is_wrapped, _unwrap),
-    (lambda t: _x(), lambda t: F.regexp_replace(t, rf"[{_SPACED}{_CJK}]++(?={_CLOSES})(?![”»」』)])", "$0" + GUARD)),
-    (lambda t: t.contains('"'), lambda t: F.regexp_replace(t, r'[.!?](?=[^"\n]{1,400}+"[\s,;.:)])(?<=[\s(]"[^"\n]{0,400})', "$0" + GUARD)),
+    (lambda t: _x(), lambda t: F.regexp_replace(t, _OTHER_INSIDE, "$0" + GUARD)),
+    (lambda t: t.contains(")") | t.contains("”") | t.contains("»") | _o(), lambda t: F.regexp_replace(t, _LATIN_INSIDE, "$0" + GUARD)),
+    (lambda t: t.contains('"'), lambda t: F.regexp_replace(t, _STRAIGHT_INSIDE, "$0" + GUARD)),
     (lambda t: F.col("_q") | t.contains("„") | t.contains("://") | t.contains("www."), _guard_seldom),
     (None, lambda t: F.regexp_replace(t, _dots(), "$0" + GUARD)),
     (lambda t: _x() & t.contains("…"), lambda t: F.regexp_replace(t, r"…(?=\s\p{Ll})", "$0" + GUARD)),
@@ -168,23 +205,31 @@ _STEPS = [
 _BLANKS = " \t\n\r\x0b\x0c\x85\xa0                　﻿"
 
 
-def _pieces(t: Column, with_text: bool) -> Column:
-    """array<struct<start_pos: bigint[, unit: string]>> of a text with guards and cuts."""
-    kind = "struct<start_pos:bigint,unit:string>" if with_text else "struct<start_pos:bigint>"
-    body = F.ltrim(t, F.lit(_BLANKS))
-    empty = F.struct((F.char_length(t) - F.char_length(body)).cast("bigint").alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+def _sums(xs: Column, of, start: Column) -> Column:
+    """struct<n, at>: the sum of xs and start, and what it was before each of xs."""
+    empty = F.struct(start.cast("bigint").alias("n"), F.array().cast("array<bigint>").alias("at"))
+    return F.aggregate(xs, empty, lambda acc, x: F.struct((acc["n"] + of(x)).alias("n"), F.concat(acc["at"], F.array(acc["n"])).alias("at")))
+
+
+def _in_blocks(lengths: Column) -> Column:
+    """Sums of the lengths within blocks of the square root of their number."""
+    size = F.greatest(F.ceil(F.sqrt(F.size(lengths))).cast("int"), F.lit(64))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / size).cast("int")), lambda i: F.slice(lengths, i * size + 1, size))
+    return F.transform(blocks, lambda b: _sums(b, lambda x: x, F.lit(0)))
+
+
+def _over_blocks(blocks: Column, first: Column) -> Column:
+    """Where each piece begins, from the sums within blocks."""
+    shift = lambda b, by: F.transform(b["at"], lambda x: x + by)
+    return F.flatten(F.zip_with(blocks, _sums(blocks, lambda b: b["n"], first)["at"], shift))
 
-    def step(acc: Column, x: Column) -> Column:
-        one = F.array(F.struct(acc["at"].alias("start_pos"), F.rtrim(x, F.lit(_BLANKS)).alias("unit")) if with_text else F.struct(acc["at"].alias("start_pos")))
-        return F.struct((acc["at"] + F.char_length(x)).alias("at"), F.when(x != "", F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
 
-    return F.aggregate(F.split(body, CUT), empty, step, lambda acc: acc["out"])
+_CHUNK = 512
 
 
-def sentence_units(df: DataFrame, text: str, keep: list[str], with_text: bool = True) -> DataFrame:
-    """One row per unit: the columns of keep, unit_no, start_pos and unit (trailing white space cut off; with_text=False
-    leaves it out, where positions are all that is wanted). keep may hold
-    any column but those three; other columns are never read."""
+def sentence_units(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """One row per unit: the columns of keep, unit_no, start_pos and unit (as stored, trailing white space cut off). keep
+    may hold any column but those three; other columns are never read."""
     clash = {"unit_no", "start_pos", "unit"} & set(keep)
     if clash:
         raise ValueError(f"columns {sorted(clash)} clash with the result's; rename them")
@@ -196,14 +241,26 @@ def sentence_units(df: DataFrame, text: str, keep: list[str], with_text: bool =
     work = work.withColumn("_x", _o() & s.rlike(f"[{_SPACED}{_CJK}]")).withColumn("_q", _seldom(s)).withColumn("_f", _o() & (held | s.rlike(_NEEDS_FOLD)))
     work = work.withColumn("_t", F.when(F.col("_f"), F.translate(_fold(s), GUARD + CUT, OTHER * 2)).otherwise(s))
     for i, (test, change) in enumerate(_STEPS):  # each a projection of its own, so that no step is worked out twice
-        if i == 2 and with_text:  # lines are told by now: units of a text in which breaks changed come from the text as stored
+        if i == 2:  # lines are told by now: units of a text in which breaks changed come from the text as stored
             work = work.withColumn("_f", F.col("_f") | (t != s))
         work = work.withColumn("_t", change(t) if test is None else F.when(test(t), change(t)).otherwise(t))
-    stored = lambda u: F.struct(u["start_pos"].alias("start_pos"), F.substring(s, u["start_pos"].cast("int") + 1, F.char_length(u["unit"])).alias("unit"))
-    work = work.withColumn("_t", F.replace(t, F.lit(GUARD), F.lit(""))).withColumn("_a", _pieces(t, with_text))
-    if with_text:
-        work = work.withColumn("_a", F.when(F.col("_f"), F.transform(a, stored)).otherwise(a))
+    work = work.withColumn("_t", F.ltrim(F.replace(t, F.lit(GUARD), F.lit("")), F.lit(_BLANKS)))
+    lead = (F.char_length(s) - F.char_length(F.replace(t, F.lit(CUT), F.lit("")))).cast("bigint")
+    work = work.withColumn("_p", F.split(t, CUT)).withColumn("_l", F.transform("_p", lambda x: F.char_length(x).cast("bigint"))).withColumn("_b", lead)
+    work = work.withColumn("_i", _in_blocks(F.col("_l"))).withColumn("_a", _over_blocks(F.col("_i"), F.col("_b"))).withColumn("_c", F.when(F.col("_f"), F.regexp_extract_all(s, F.lit(rf"(?s).{{1,{_CHUNK}}}"), F.lit(0))))
+
+    def unit(x: Column, at: Column) -> Column:
+        """A piece, or what is stored in its place: from the chunks that hold it, as a search from the start of the text
+        for each unit would take the square of its length."""
+        bare = F.rtrim(x, F.lit(_BLANKS))
+        n, k = F.char_length(bare), F.floor(at / _CHUNK).cast("int")
+        # Named twice, so that the optimizer doesn't put the making of the chunks in here, to be done for each unit.
+        chunks = F.slice("_c", k + 1, F.least(F.floor((at + n) / _CHUNK).cast("int"), F.size("_c") - 1) - k + 1)
+        kept = F.substring(F.array_join(chunks, ""), (at - k * _CHUNK + 1).cast("int"), n)
+        return F.struct(at.alias("start_pos"), F.when(F.col("_f"), kept).otherwise(bare).alias("unit"))
+
+    work = work.withColumn("_a", F.filter(F.zip_with("_p", a, unit), lambda u: u["unit"] != ""))
     # The outer form, as the plain one makes the optimizer infer a filter on the array, which it would work out from
     # the text once more for every reference.
     work = work.select(*ks, F.posexplode_outer(a).alias("_n", "_u")).where(F.col("_u").isNotNull())
-    return work.select(*[F.col(k).alias(c) for c, k in zip(keep, ks)], F.col("_n").cast("bigint").alias("unit_no"), "_u.start_pos", *["_u.unit"] * with_text)
+    return work.select(*[F.col(k).alias(c) for c, k in zip(keep, ks)], F.col("_n").cast("bigint").alias("unit_no"), "_u.start_pos", "_u.unit")
