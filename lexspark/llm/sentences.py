@@ -77,7 +77,7 @@ def _is_wrapped(t: Column) -> Column:
     return t.rlike(_BROKEN) & (F.regexp_count(t, F.lit(_BROKEN)) > F.regexp_count(t, F.lit(_UNBROKEN)))
 
 
-_MARKS, _CLOSING = r"\n()«»“-‟「-』", "”»」』)"
+_MARKS, _CLOSING = "()«»“-‟「-』", "”»」』)"
 
 
 def _inside(opens: str, stops: str, closes: str, terms: str, but: str) -> str:
@@ -87,10 +87,11 @@ def _inside(opens: str, stops: str, closes: str, terms: str, but: str) -> str:
     return rf"(?:{opens}(?=[^{stops}]*+{closes})|\G(?!\A)){skip}(?:[{terms}](?={but}){skip})*+[{terms}](?!{but})"
 
 
-# Whatever the next quotation mark or bracket closes is inside, but for the bracket of a label such as a).
+# From a quotation mark or bracket on, whatever the next one on the line closes is inside, but for the bracket of a label
+# such as a).
 _CLOSES = rf"[{_CLOSING}](?<!\s(?:\p{{L}}|\p{{Nd}}{{1,3}}|[IVXivx]{{1,5}})\))"
-_LATIN_INSIDE = _inside(f"[{_MARKS}]", _MARKS, _CLOSES, ".!?", r"[^\s\p{Lu}]|\z")
-_OTHER_INSIDE = _inside(f"[{_MARKS}]", _MARKS, _CLOSES, _SPACED + _CJK, f"[{_CLOSING}]")
+_LATIN_INSIDE = _inside(f"[{_MARKS}]", "\\n" + _MARKS, _CLOSES, ".!?", r"[^\s\p{Lu}]|\z")
+_OTHER_INSIDE = _inside(f"[{_MARKS}]", "\\n" + _MARKS, _CLOSES, _SPACED + _CJK, f"[{_CLOSING}]")
 _STRAIGHT_INSIDE = _inside(r'(?<=[\s(])"', r'"\n', r'"[\s,;.:)]', ".!?", '"')
 _GERMAN_INSIDE = _inside("„", r"„“\n", "“", ".!?", "“")
 
