@@ -15,15 +15,16 @@ accuracy and how often it abstains, with a latent class for sentences of no area
 over areas. A sentence takes its most probable area or none; a document has the areas that at least QUARTER of its
 sentences with any area have.
 
-Scale. Two passes over the texts in Arrow partitions. Corpus counts of features are hashed into 2^20 places (the features of the examples keep 64 bits), vote patterns have at most
-11^5 values: what reaches the driver is bounded by those, whatever the corpus, and is summed in the executors first
-(so a hot source or law costs one row per partition). Between the second pass and the result only one small row per
-document travels.
+Scale. Two passes over the texts in Arrow partitions. Features are counted by hashes of 60 bits or so, each with the area
+it is seen in, summed up in the tasks and then by a shuffle; what is rare (MIN_SEEN) or impure is dropped there, and the
+driver gets the survivors only, at most LEXICON weights of them (features times areas, those seen most; a bound on the
+model like the size of a vocabulary). Vote patterns have at most 11^5 values and are summed in the executors too, so a hot source or
+law costs one row per partition. Between the second pass and the result only one small row per document travels.
 
 Edge cases: NULL, empty and blank texts and texts of procedure only have no row; an area needs to be in `subjects`;
 NULL law numbers and sources make their functions abstain; exact ties go to the area that comes first by name; copies get
-equal areas; without examples or documents the result is empty. Examples beyond MAX_EXAMPLES are not used (the labelled
-set is small by nature; the bound keeps it so).
+equal areas; without examples or documents the result is empty. The labelled set is small by nature; of more than
+MAX_EXAMPLES rows an equal number for each area is drawn by hash.
 """
 
 from __future__ import annotations
@@ -35,12 +36,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexspark.session import written
 
-PLACES, QUARTER, MAX_EXAMPLES = 2**20, 0.25, 20_000
+PLACES, QUARTER, MAX_EXAMPLES, LEXICON = 2**20, 0.25, 20_000, 2**24
+#: Features that a task holds before it adds them up.
+HELD = 4_000_000
 MIN_SEEN, MIN_PURITY, MIN_SUM, MIN_SHARE = 8, 0.4, 0.9, 0.1
 BLOCK_CHARS = 300_000
 _TOKEN = re.compile(r"\w+|[.!?…。！？](?=[\s”’»\")\x00]|$)|\n\s*\n|\x00")
@@ -112,55 +115,52 @@ def _place(features: np.ndarray) -> np.ndarray:
 
 
 class Lexicon:
-    """Weights of features by area. exact: keys are features of 64 bits, else their places."""
+    """Weights of features by area. bits: how many low bits of a feature its keys lack."""
 
-    def __init__(self, keys: np.ndarray, weights: np.ndarray, exact: bool):
+    def __init__(self, keys: np.ndarray, weights: np.ndarray, bits: int = 0):
         order = np.argsort(keys)
-        self.keys, self.weights, self.exact = keys[order], weights[order].astype(np.float32), exact
+        self.keys, self.weights, self.bits = keys[order], weights[order].astype(np.float32), bits
 
     def prepare(self) -> None:
-        """Once per task: a row for each place."""
-        self.row = np.full(PLACES, -1, np.int32)
-        self.row[_place(self.keys) if self.exact else self.keys] = np.arange(len(self.keys), dtype=np.int32)
-
-    def find(self, features: np.ndarray) -> np.ndarray:
-        row = self.row[_place(features)]
-        if self.exact and len(self.keys):
-            hit = np.flatnonzero(row >= 0)
-            at = np.minimum(np.searchsorted(self.keys, features[hit]), len(self.keys) - 1)
-            row[hit] = np.where(self.keys[at] == features[hit], at, -1)
-        return row
+        """Once per task: which places hold a key at all."""
+        self.held = np.zeros(PLACES, bool)
+        self.held[_place(self.keys >> np.uint64(self.bits))] = True
+
+    def find(self, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which features have weights, and the rows of these."""
+        if not len(self.keys):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        hit = np.flatnonzero(self.held[_place(features >> np.uint64(self.bits))])
+        keys = features[hit] >> np.uint64(self.bits) << np.uint64(self.bits)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        same = self.keys[at] == keys
+        return hit[same], at[same]
 
     def votes(self, features: np.ndarray, sentence: np.ndarray, n: int) -> np.ndarray:
         """0 (abstains) or 1 + area for each of n sentences."""
-        out = np.zeros(n, np.int64)
-        row = self.find(features)
-        has = row >= 0
-        if not has.any():
-            return out
-        at, row = sentence[has], row[has]
+        hit, row = self.find(features)
+        if not len(hit):
+            return np.zeros(n, np.int64)
+        at = sentence[hit]
         score = np.stack([np.bincount(at, self.weights[row, a], n) for a in range(self.weights.shape[1])], axis=1)
         best = score.argmax(axis=1)
         return np.where(score[np.arange(n), best] >= MIN_SUM, best + 1, 0)
 
 
-def lexicon(counts: np.ndarray, keys: np.ndarray, min_seen: float, min_purity: float, exact: bool) -> Lexicon:
-    """Weights from counts (feature, area): the log odds against even shares, for features that are pure enough even at
-    the lower end of what their count allows."""
-    total = counts.sum(axis=1)
-    k = counts.shape[1]
+def _log_odds(purity: np.ndarray) -> np.ndarray:
+    k = purity.shape[1]
+    return np.where(purity > 1.5 / k, np.log(purity * k), 0.0)
+
+
+def _example_lexicon(counts: np.ndarray, keys: np.ndarray, min_purity: float) -> Lexicon:
+    """The log odds against even shares, for features that are pure enough. There are few examples: what was seen once
+    counts too, but for less, so that it takes two such features to vote."""
+    total, k = counts.sum(axis=1), counts.shape[1]
     share = counts.sum(axis=0) / max(counts.sum(), 1e-9)
     even = counts / np.maximum(share, 1e-9) / k  # as if all areas were equally common
     purity = (even + 0.1) / (even.sum(axis=1, keepdims=True) + 0.1 * k)
-    best = purity.max(axis=1)
-    if exact:  # few examples: what was seen once counts too, but for less, so that it takes two such features to vote
-        keep = (total >= min_seen) & (even.max(axis=1) >= min_purity * even.sum(axis=1))
-        trust = (total / (total + 1))[keep, None]
-    else:
-        low = best - np.sqrt(best * (1 - best) / np.maximum(total, 1))
-        keep, trust = (total >= min_seen) & (low >= min_purity), 1.0
-    w = np.where(purity[keep] > 1.5 / k, np.log(purity[keep] * k), 0.0) * trust
-    return Lexicon(keys[keep], w, exact)
+    keep = (total >= 1) & (even.max(axis=1) >= min_purity * even.sum(axis=1))
+    return Lexicon(keys[keep], _log_odds(purity[keep]) * (total / (total + 1))[keep, None])
 
 
 def _seed(examples: list[tuple[str, int]], k: int) -> Lexicon:
@@ -170,39 +170,81 @@ def _seed(examples: list[tuple[str, int]], k: int) -> Lexicon:
         for f in np.unique(_Block([text], ids).feature).tolist():
             counts.setdefault(f, np.zeros(k))[area] += 1
     if not counts:
-        return Lexicon(np.empty(0, np.uint64), np.empty((0, k)), True)
-    return lexicon(np.array(list(counts.values())), np.array(list(counts), np.uint64), 1, 0.75, True)
+        return Lexicon(np.empty(0, np.uint64), np.empty((0, k)))
+    return _example_lexicon(np.array(list(counts.values())), np.array(list(counts), np.uint64), 0.75)
+
+
+def _added(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys with the sums of their weights."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[first], np.add.reduceat(weights[order], first)
 
 
 def _count(seed: Lexicon, k: int):
-    """Sums, by feature, of the area shares that the first lexicon sees in each document. A document in which it sees
-    hardly any (a passing mention, or wording it lacks) counts as one of every area in equal parts."""
+    """Sums (f, a, w), by feature and area, of the area shares that the first lexicon sees in each document. A document in
+    which it sees hardly any (a passing mention, or wording it lacks) counts as one of every area in equal parts: area k.
+    Feature 0 has the sums over all features."""
+    bits = k.bit_length()
+    low = np.uint64(2**bits - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seed.prepare()
         ids = _Ids()
-        table = np.zeros((k + 1, PLACES), np.float32)  # the last row: documents of every area in equal parts
+        held, n_held, all_ = [], 0, np.zeros(k + 1)
+
+        def settle() -> list:
+            return [_added(np.concatenate([x for x, _ in held]), np.concatenate([w for _, w in held]))] if held else []
+
         for batch in batches:
             for _, x in _blocks(batch.column(0).to_pylist(), ids):
                 v = seed.votes(x.feature, x.at, x.sentences)
                 seen = np.bincount(x.document * (k + 1) + v, minlength=x.n * (k + 1)).reshape(x.n, k + 1)
                 n, seen = seen.sum(axis=1), seen[:, 1:]
                 enough = seen.max(axis=1) >= np.maximum(1, MIN_SHARE * n)
-                share = np.zeros((x.n, k + 1), np.float32)
+                share = np.zeros((x.n, k + 1))
                 share[:, :k] = np.where(enough[:, None], seen / np.maximum(seen.sum(axis=1, keepdims=True), 1), 0)
                 share[:, k] = ~enough
-                place, document = _place(x.feature), x.document[x.at]
-                for a in range(k + 1):
-                    hit = (share[:, a] > 0)[document]
-                    np.add.at(table[a], place[hit], share[document[hit], a])
-        some = np.flatnonzero(table.any(axis=0))
-        if len(some):
-            sums = table[:k, some].astype(np.float64) + table[k, some] / k
-            yield pa.RecordBatch.from_arrays([pa.array(some), *[pa.array(sums[a]) for a in range(k)]], names=["f", *[f"a{a}" for a in range(k)]])
+                feature, document = x.feature & ~low, x.document[x.at]
+                for a in np.flatnonzero(share.any(axis=0)):
+                    hit = np.flatnonzero((share[:, a] > 0)[document])
+                    w = share[document[hit], a]
+                    held.append((feature[hit] | np.uint64(a), w))
+                    all_[a] += w.sum()
+                    n_held += len(hit)
+                if n_held > HELD:
+                    held = settle()
+                    n_held = len(held[0][0]) // 2  # so that much the same isn't sorted over and over
+        for keys, w in settle():
+            for i in range(0, len(keys), 500_000):
+                key = keys[i : i + 500_000]
+                yield pa.RecordBatch.from_arrays([pa.array((key & ~low).view(np.int64)), pa.array((key & low).astype(np.int32)), pa.array(w[i : i + 500_000])], names=["f", "a", "w"])
+        some = np.flatnonzero(all_)
+        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(some), np.int64)), pa.array(some.astype(np.int32)), pa.array(all_[some])], names=["f", "a", "w"])
 
     return run
 
 
+def _corpus_lexicon(docs: DataFrame, seed: Lexicon, k: int) -> Lexicon:
+    """The log odds against even shares, for features that are pure enough even at the lower end of what their count
+    allows. Sums and tests run in the executors."""
+    sums = docs.select("text").mapInArrow(_count(seed, k), "f long, a int, w double").groupBy("f")
+    sums = sums.agg(F.sum("w").alias("n"), *[F.sum(F.when(F.col("a") == a, F.col("w")).when(F.col("a") == k, F.col("w") / k).otherwise(0.0)).alias(f"a{a}") for a in range(k)])
+    sums = written(sums.where((F.col("n") >= MIN_SEEN) | (F.col("f") == 0)), "features")
+    total = sums.where("f = 0").first()
+    if total is None:
+        return Lexicon(np.empty(0, np.uint64), np.empty((0, k)))
+    even = [F.col(f"a{a}") / max(total[f"a{a}"] / max(total.n, 1e-9), 1e-9) / k for a in range(k)]  # as if all areas were equally common
+    purity = [(e + 0.1) / (sum(even[1:], even[0]) + 0.1 * k) for e in even]
+    best = F.greatest(*purity)
+    pure = sums.where("f <> 0").select("f", "n", F.array(*purity).alias("p"), best.alias("best"))
+    pure = pure.where(F.col("best") - F.sqrt(F.col("best") * (1 - F.col("best")) / F.col("n")) >= MIN_PURITY)
+    table = pure.orderBy(F.desc("n"), "f").limit(LEXICON // k).select("f", "p").toArrow()
+    weights = np.array(table.column("p").to_pylist(), float).reshape(-1, k)
+    return Lexicon(table.column("f").to_numpy().view(np.uint64), _log_odds(weights), k.bit_length())
+
+
 def _votes(seed: Lexicon, corpus: Lexicon, k: int):
     """One row per document: a code of (lexicon, corpus lexicon, section) votes for each sentence that any of them votes
     on, the number of the other sentences being left out, and the document's most voted area."""
@@ -297,14 +339,12 @@ def document_subjects(documents: DataFrame, subjects: DataFrame, examples: DataF
     if k < 2:
         return spark.createDataFrame([], result)
     at = {s: i for i, s in enumerate(names)}
-    labelled = examples.where("text IS NOT NULL").select("text", "subject").orderBy("subject", "text").limit(MAX_EXAMPLES).collect()
-    seed = _seed([(r.text, at[r.subject]) for r in labelled if r.subject in at], k)
+    known = examples.where("text IS NOT NULL").join(F.broadcast(spark.createDataFrame([(s,) for s in names], "subject string")), "subject", "left_semi")  # at most 1,000 names
+    turn = F.row_number().over(Window.partitionBy("subject").orderBy(F.xxhash64("text"), "text"))
+    labelled = known.select("text", "subject", turn.alias("i")).where(F.col("i") <= max(1, MAX_EXAMPLES // k)).select("text", "subject").collect()
+    seed = _seed([(r.text, at[r.subject]) for r in labelled], k)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("law_number").cast("string").alias("law"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
-    sums = docs.select("text").mapInArrow(_count(seed, k), "f long, " + ", ".join(f"a{a} double" for a in range(k)))
-    table = sums.groupBy("f").agg(*[F.sum(f"a{a}").alias(f"a{a}") for a in range(k)]).toArrow()
-    places = table.column("f").to_numpy()
-    counts = np.stack([table.column(f"a{a}").to_numpy() for a in range(k)], axis=1) if len(places) else np.empty((0, k))
-    corpus = lexicon(counts, places, MIN_SEEN, MIN_PURITY, False)
+    corpus = _corpus_lexicon(docs, seed, k)
     voted = written(docs.mapInArrow(_votes(seed, corpus, k), "doc_id long, law string, source string, codes array<int>, top int"), "votes")
     rows = voted.where("size(codes) > 0")
     rows = rows.join(_most(voted, "law", "laws"), "law", "left").join(_most(voted, "source", "sources"), "source", "left")
