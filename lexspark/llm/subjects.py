@@ -176,10 +176,8 @@ def _seed(examples: list[tuple[str, int]], k: int) -> Lexicon:
 
 def _added(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys with the sums of their weights."""
-    order = np.argsort(keys)
-    keys = keys[order]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    return keys[first], np.add.reduceat(weights[order], first)
+    got = pa.table({"k": keys, "w": weights}).group_by("k", use_threads=False).aggregate([("w", "sum")])
+    return got.column("k").to_numpy(), got.column("w_sum").to_numpy()
 
 
 def _count(seed: Lexicon, k: int):
