@@ -9,7 +9,8 @@ of look-alikes alone whose neighbours are Latin. Symbols and passages of another
 Arabic and Indic words and ideographic spaces between ideographs too.
 
 A value is a case when its consistent form differs from it. NULL stays NULL and is no case; empty values stay empty; equal
-values get equal forms, and a form is its own form. Rows are handled one by one, without a shuffle.
+values get equal forms, and a form is its own form. Rows are handled one by one, without a shuffle;
+DuckDB gets PART_BYTES of text at a time, or one value.
 """
 
 from __future__ import annotations
@@ -18,9 +19,13 @@ import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Text that DuckDB is given at once; its memory is many times that.
+PART_BYTES = 8_000_000
+
 # Characters that stay though compatibility folding would change them.
 ORDINARY = "ªº²³¹"
 INVISIBLE = r"\x{00AD}\x{034F}\x{061C}\x{180E}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{2064}\x{2066}-\x{2069}\x{FE00}-\x{FE0F}\x{FEFF}"
@@ -119,6 +124,19 @@ def _sql() -> str:
 SQL = _sql()
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """batch in parts of at most PART_BYTES of text, or of one row."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+    first, size = 0, 0
+    for i, n in enumerate(sizes):
+        if i > first and size + n > PART_BYTES:
+            yield batch.slice(first, i - first)
+            first, size = i, 0
+        size += n
+    if first < len(sizes):
+        yield batch.slice(first)
+
+
 def _run(only_cases: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import duckdb
@@ -126,7 +144,7 @@ def _run(only_cases: bool):
         con = duckdb.connect(config={"threads": 1, "memory_limit": "512MB", "temp_directory": ""})
         query = f"SELECT src, fld, ord, coalesce(form IS DISTINCT FROM text, false) AS is_case, form, text FROM ({SQL})"
         query += " WHERE form IS DISTINCT FROM text" if only_cases else ""
-        for b in batches:
+        for b in (part for batch in batches for part in _parts(batch)):
             con.register("batch", pa.Table.from_batches([b]))
             got = con.sql(query).to_arrow_table()
             con.unregister("batch")

@@ -42,3 +42,14 @@ def test_edges(spark):
     assert len(got) == 5 and [r.form for r in got if r.ord == 1] == [None] and not [r for r in got if r.ord == 1][0].is_case
     assert consistent_form(d, only_cases=True).count() == 4
     assert consistent_form(d.limit(0)).count() == 0
+
+
+def test_parts_are_bounded_by_bytes(monkeypatch):
+    import pyarrow as pa
+
+    from lexspark.llm import lookalikes as X
+
+    monkeypatch.setattr(X, "PART_BYTES", 10)
+    b = pa.RecordBatch.from_pydict({"ord": [1, 2, 3, 4, 5], "text": ["aaaa", "bbbb", None, "c" * 30, "d"]})
+    assert [p.column("ord").to_pylist() for p in X._parts(b)] == [[1, 2, 3], [4], [5]]
+    assert list(X._parts(b.slice(0, 0))) == []
