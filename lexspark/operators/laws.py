@@ -75,6 +75,11 @@ def urls(laws: DataFrame) -> DataFrame:
     return laws.select("ord", L.construct_url(F.col("urn")).alias("url"))
 
 
+def sorted_numbers(laws: DataFrame) -> DataFrame:
+    """Numbers sorted as texts, repeated ones next to each other by input order."""
+    return laws.select("number", "ord").orderBy("number", "ord")
+
+
 def retry_set(failed_before: DataFrame, failed_now: DataFrame) -> DataFrame:
     """J4 (extension): addresses that failed before and no longer do. Distinct, so one row per address."""
     return failed_before.select("url").distinct().join(failed_now.select("url").distinct(), "url", "left_anti")

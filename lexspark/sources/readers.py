@@ -35,9 +35,21 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_DOCUMENT).json(path)
 
 
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """S1 by the name of the path: Parquet (.parquet, or a folder of it), JSON lines (.jsonl, .ndjson) or a JSON array."""
+    if not _path_exists(spark, path):
+        raise FileNotFoundError(f"documents file not found: {path}")
+    name = path.rstrip("/")
+    if name.endswith((".jsonl", ".ndjson")):
+        return read_json_lines(spark, path)
+    if name.endswith(".json"):
+        return read_json_array(spark, path)
+    return spark.read.parquet(path)
+
+
 def read_url_lines(spark: SparkSession, path: str) -> DataFrame:
     """The raw lines of S2 with their place in the file. A missing file fails at once. monotonically_increasing_id keeps
-    file order within and across splits of one file."""
+    file order within and across splits of one file; of several files in a folder it keeps each one's order, not theirs."""
     if not _path_exists(spark, path):
         raise FileNotFoundError(f"URLs file not found: {path}")
     return spark.read.text(path).select(F.monotonically_increasing_id().alias("ord"), F.col("value").alias("url"))
@@ -53,11 +65,23 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
-def check_documents(df: DataFrame) -> dict[str, int]:
-    """S7 over all rows: how many lack a key."""
+def document_check(df: DataFrame) -> DataFrame:
+    """S7 over all rows, as one row: how many there are and how many lack a key."""
     require_columns(df, RAW_DOCUMENT, "documents")
-    r = df.agg(F.count("*").alias("rows"), F.count_if(F.col("filename").isNull()).alias("no_filename"), F.count_if(F.col("filedata").isNull()).alias("no_filedata")).first()
-    return r.asDict()
+    return df.agg(F.count("*").alias("rows"), F.count_if(F.col("filename").isNull()).alias("no_filename"), F.count_if(F.col("filedata").isNull()).alias("no_filedata"))
+
+
+def check_documents(df: DataFrame) -> dict[str, int]:
+    """S7 as figures."""
+    return document_check(df).first().asDict()
+
+
+def require_documents(df: DataFrame) -> DataFrame:
+    """S7 as a gate: df itself, or ValueError where any row lacks a key."""
+    bad = check_documents(df)
+    if bad["no_filename"] or bad["no_filedata"]:
+        raise ValueError(f"documents without filename: {bad['no_filename']}, without filedata: {bad['no_filedata']}, of {bad['rows']}")
+    return df
 
 
 def check_laws(df: DataFrame) -> DataFrame:

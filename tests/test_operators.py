@@ -94,6 +94,11 @@ def test_fetch_reports(spark):
     assert tuple(R.fetch_timing(results(spark, [])).first()) == (0.0, 0.0)
 
 
+def test_numbers_sort_as_texts(spark):
+    d = laws(spark, [("9", None, None), ("10", None, None), ("9", None, None)])
+    assert [tuple(r) for r in O.sorted_numbers(d).collect()] == [("10", 1), ("9", 0), ("9", 2)]
+
+
 def test_sets(spark):
     u = lambda *x: spark.createDataFrame([(a,) for a in x], "url string")
     assert sorted(r.url for r in O.retry_set(u("a", "b", "b", "c"), u("a")).collect()) == ["b", "c"]
@@ -114,17 +119,58 @@ class Broken:
         pass
 
 
+QUICK = dict(delay_between_batches=0, delay_between_requests=0, retry_delay=0)
+
+
 @pytest.mark.parametrize("drop", [False, True])
-def test_fetch_isolates_batches(spark, drop):
+def test_fetch_isolates_requests(spark, drop):
     d = laws(spark, [(str(i), "2000-01-01", "2000") for i in range(6)])
-    got = E.fetch(d, E.FetchConfig(batch_size=2, delay_between_batches=0, drop_failed_batches=drop), Broken).orderBy("ord").collect()
-    assert [(r.ord, r.success) for r in got] == ([(i, i // 2 != 1) for i in range(6)] if not drop else [(0, True), (1, True), (4, True), (5, True)])
+    got = E.fetch(d, E.FetchConfig(batch_size=2, drop_failed_batches=drop, **QUICK), Broken).orderBy("ord").collect()
+    assert [(r.ord, r.success) for r in got] == ([(i, i != 3) for i in range(6)] if not drop else [(i, True) for i in (0, 1, 4, 5)])
     assert [r.batch for r in got] == [r.ord // 2 for r in got]
+    assert drop or got[3].error_message == "OSError: down" and got[2].success
+
+
+class Shaky:
+    def __init__(self):
+        self.calls = []
+
+    def fetch(self, url):
+        self.calls.append(url)
+        if self.calls.count(url) < 3:
+            raise OSError("shaky")
+        return True, None
+
+
+def test_requests_are_repeated_and_batches_are_whole():
+    client, config = Shaky(), E.FetchConfig(batch_size=2, retry_attempts=3, **QUICK)
+    rows = [(i, str(i), f"u{i}", i // 2) for i in range(5)]
+    got = list(E._fetch_rows(client, iter(rows), config))
+    assert [[r[0] for r in b] for b in got] == [[0, 1], [2, 3], [4]] and all(r[4] for b in got for r in b)
+    assert len(client.calls) == 15
+    once = list(E._fetch_rows(Shaky(), iter(rows), E.FetchConfig(retry_attempts=1, drop_failed_batches=True, **QUICK)))
+    assert once == [[], [], []] and list(E._fetch_rows(Shaky(), iter([]), config)) == [[]]
+
+
+def test_waits(monkeypatch):
+    waits = []
+    monkeypatch.setattr(E.time, "sleep", waits.append)
+    rows = [(i, str(i), f"u{i}", i // 2) for i in range(4)]
+    list(E._fetch_rows(E.OfflineClient(0), iter(rows), E.FetchConfig(partitions=3)))
+    assert waits == [6.0, 15.0, 6.0]
+    waits.clear()
+    list(E._fetch_rows(E.OfflineClient(100), iter(rows[:1]), E.FetchConfig(retry_attempts=4)))
+    assert waits == [1.0, 2.0, 4.0]
+
+
+def test_no_client(spark):
+    with pytest.raises(ValueError, match="no fetch client"):
+        E.fetch(laws(spark, []), make_client=None)
 
 
 def test_offline_client_is_deterministic(spark):
     d = laws(spark, [(str(i), "2000-01-01", "2000") for i in range(20)])
-    c = E.FetchConfig(batch_size=5, delay_between_batches=0, partitions=3)
+    c = E.FetchConfig(batch_size=5, partitions=3, **QUICK)
     a, b = (E.fetch(d, c).select("ord", "success").orderBy("ord").collect() for _ in range(2))
     assert a == b and len(a) == 20
     assert E.fetch(d.limit(0), c).count() == 0
