@@ -342,6 +342,11 @@ def _count_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], names=["pool", "a", "atom", "b", "n"])
 
 
+def _pool(src: str | None, fld: str | None) -> str:
+    """As concat_ws has it."""
+    return ".".join(x for x in (src, fld) if x is not None)
+
+
 def learn(values: DataFrame) -> Model:
     """Fit on every row of values (src, fld, ord, text)."""
     pool = F.concat_ws(".", "src", "fld")
@@ -412,7 +417,7 @@ def _find(model: Model, with_text: bool) -> Callable[[Iterator[pa.RecordBatch]],
             for src, fld, ord_, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if text is None or text.isascii():
                     continue
-                pool = f"{src}.{fld}"
+                pool = _pool(src, fld)
                 judge = judges.get(pool) or judges.setdefault(pool, _Judge(model.bad.get(pool, {}), model.weak))
                 got = judge.repair(text)
                 if got:
@@ -440,7 +445,7 @@ def without_garbled(values: DataFrame, model: Model, *keep: str) -> DataFrame:
         for b in batches:
             names = b.schema.names
             src, fld, text = (b.column(names.index(c)).to_pylist() for c in ("src", "fld", "text"))
-            ok = [t is None or t.isascii() or not judges.get(f"{s}.{f}", none).signs(t) for s, f, t in zip(src, fld, text)]
+            ok = [t is None or t.isascii() or not judges.get(_pool(s, f), none).signs(t) for s, f, t in zip(src, fld, text)]
             yield b.select(list(keep)).filter(pa.array(ok, pa.bool_()))
 
     out = values.select(*dict.fromkeys((*keep, "src", "fld", "text")))

@@ -62,6 +62,15 @@ def test_long_runs(spark):
     assert got == {10_001: russian}
 
 
+def test_pools_without_a_name(spark):
+    wrong = TEXT.encode().decode("latin-1")
+    rows = [(s, f, i, t, "x") for i, t in enumerate(CLEAN * 30 + [wrong]) for s, f in ((None, "f"), ("t", None), (None, None))]
+    d = spark.createDataFrame(rows, SCHEMA)
+    got = E.find_garbled(d).collect()
+    assert {(r.src, r.fld, r.ord) for r in got} == {(None, "f", 180), ("t", None, 180), (None, None, 180)} and {r.text for r in got} == {TEXT}
+    assert E.without_garbled(d, E.learn(d), "ord").count() == 180 * 3
+
+
 def test_length_alone_changes_nothing(spark):
     words = ["Ïðåäñåäàòåëü", "Ïðèâåò", "çàñåäàíèå", "äîãîâîð"]  # cp1251 read as cp1252
     clean = [w.encode("cp1252").decode("cp1251") for w in words]
