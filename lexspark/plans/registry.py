@@ -95,6 +95,13 @@ def _json_round_trip(s, d):
     return s.read.schema(rows.schema).json(path)
 
 
+def _documents_round_trip(s, d):
+    """The documents as JSON lines, read again."""
+    path = _folder(s, "documents")
+    W.write_json_lines(_raw(s, d), path)
+    return S.read_json_lines(s, path)
+
+
 def _report_round_trip(s, d):
     """K6 and K7: results and failed addresses as files, read again and counted."""
     path = _folder(s, "reports")
@@ -133,6 +140,7 @@ QUERIES = {
     "input_check": lambda s, d: S.document_check(_raw(s, d)),
     "url_round_trip": _url_round_trip,
     "json_round_trip": _json_round_trip,
+    "documents_round_trip": _documents_round_trip,
     "report_round_trip": _report_round_trip,
     "title_keyword": lambda s, d: _stored(s, d).where(L.title_has(F.col("title"), "imposto")).select("ord", "title"),
     "display_sample": lambda s, d: O.first_n(_stored(s, d), 10).select("ord", L.display(F.col("number"), F.col("title")).alias("line")),
@@ -254,6 +262,7 @@ ORACLE = {
     "input_check": "SELECT count(*) AS rows, count_if(filename IS NULL) AS no_filename, count_if(filedata IS NULL) AS no_filedata FROM raw_documents",
     "url_round_trip": _w(f"SELECT regexp_extract(urn, {_PU}, 3) AS number, date, split_part(date, '-', 1) AS year, 'Lei nº ' || regexp_extract(urn, {_PU}, 3) AS title, urn FROM laws WHERE regexp_matches(urn, {_PU})"),
     "json_round_trip": _w(f"SELECT {_SHORT}, 'https://normas.leg.br/?urn=' || urn AS url FROM laws"),
+    "documents_round_trip": "SELECT ord, filename, filedata FROM raw_documents",
     "report_round_trip": f"SELECT s.*, f.failed_urls FROM ({_SUMMARY}) s, (SELECT count(*) AS failed_urls FROM fetch_results WHERE NOT {_OK} AND url IS NOT NULL) f",
     "offline_fetch": _w(f"""SELECT b.ord, b.batch, u.url, b.number AS law_number, ok AS success, CASE WHEN NOT ok THEN 'offline: not available' END AS error_message FROM (
       SELECT ord, number, CAST((row_number() OVER (ORDER BY ord) - 1) // 100 AS INTEGER) AS batch FROM url_laws) b

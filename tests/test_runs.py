@@ -187,3 +187,27 @@ def test_windows_take_any_success(spark):
     rows = [(1, "u", False, t), (1, "u", True, t), (2, "v", None, t), (3, "w", True, None)]
     got = windowed_success(spark.createDataFrame(rows, "ord long, url string, success boolean, fetched_at timestamp")).collect()
     assert [(r.attempts, r.successful) for r in got] == [(2, 1)]
+
+
+def test_windows_over_a_stream(spark, tmp_path):
+    import datetime as dt
+
+    from lexspark.streaming.laws import windowed_success
+
+    schema = "ord long, url string, success boolean, fetched_at timestamp"
+    at = lambda h, m: dt.datetime(2024, 1, 1 + h // 24, h % 24, m)
+    src = str(tmp_path / "in")
+    spark.createDataFrame([(1, "u", False, at(10, 30)), (2, "v", None, at(10, 40)), (3, "w", True, at(11, 0))], schema).coalesce(1).write.parquet(src)
+    stream = windowed_success(spark.readStream.schema(schema).parquet(src), lateness="2 hours")
+    q = stream.writeStream.format("memory").queryName("windows").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).start()
+    try:
+        q.processAllAvailable()
+        # The second delivery of the first attempt is late, but within what is waited for.
+        spark.createDataFrame([(1, "u", True, at(10, 30)), (4, "x", True, at(40, 0))], schema).coalesce(1).write.mode("append").parquet(src)
+        q.processAllAvailable()
+        spark.createDataFrame([(5, "y", True, at(44, 0))], schema).coalesce(1).write.mode("append").parquet(src)
+        q.processAllAvailable()
+        got = {r.window_start: (r.attempts, r.successful) for r in spark.table("windows").collect()}
+        assert got[at(10, 0)] == (2, 1) and got[at(11, 0)] == (1, 1)
+    finally:
+        q.stop()
