@@ -68,8 +68,9 @@ def _unwrap(t: Column) -> Column:
     return F.regexp_replace(t, rf"\n(?<=\S[ ]?\n)(?=[ ]?\S)(?![ ]?(?:{_LABEL}))", " ")
 
 
-#: A line that breaks within a sentence; a line longer than text is set.
-_BROKEN, _UNBROKEN = r"[\p{Ll}\p{Nd},؀-ۿऀ-ॣ][ ]?\n(?!\p{Ll}\))[\p{Ll}؀-ۿऀ-ॣ]", r"(?:^|\n)[^\n]{126}"
+#: A line that breaks within a sentence (looked for by its end, as a search for one character is the fastest); a line
+#: longer than text is set.
+_BROKEN, _UNBROKEN = r"\n(?<=[\p{Ll}\p{Nd},؀-ۿऀ-ॣ][ ]?\n)(?!\p{Ll}\))[\p{Ll}؀-ۿऀ-ॣ]", r"(?:^|\n)[^\n]{126}"
 
 
 def _is_wrapped(t: Column) -> Column:
