@@ -104,3 +104,12 @@ def test_long_texts_take_time_in_proportion(spark):
         assert sentence_units(d, "text", ["ord"]).count() == 400 * 20
         took.append(time.time() - began)
     assert min(took[1], took[3]) < 2.5 * min(took[0], took[2]) + 1
+
+
+def test_odd_texts_neither_overflow_nor_take_forever(spark):
+    n = 20_000
+    odd = ["(" + "." * n + ") Fim.", "“" + "Nada obsta. " * n + "”, fim. Outra.", "http://a/" + "b.c" * n + " x. Fim.", "“( " * n, "”) " * n, ' "' * n, "「" + "是。" * n + "」。", "กขค " * n, "a\n" * n, "Â" * n]
+    open_ = "“".encode().decode("cp1252")
+    close = "”".encode().decode("latin-1")
+    got = units(spark, *odd, open_ + "nada obsta. " * n + close + ", fim. Outra.")
+    assert [len(x) for x in got[:3]] == [2, 2, 2] and len(got[6]) == 1 and len(got[7]) == n and len(got[10]) == 2
